@@ -19,7 +19,7 @@ from ..functions import (
     col,
     data_columns,
 )
-from .keys import dedup_by_key, keys_not_null
+from .keys import apart_by, dedup_by_key, keys_not_null
 from .projection import ensure_row_hash, tag
 
 # The operations that count as a change.
@@ -109,8 +109,10 @@ def hash_cdc(current: DataFrame, previous: DataFrame, now: Any) -> DataFrame:
     data = data_columns(current.columns)
     moment = as_timestamp(now)
 
-    times = previous.groupBy(col(HASH_COLUMN).alias("__ref")).agg(
-        F.min(col(TIMESTAMP)).alias("__ts"), F.min(col(LAST_UPDATED)).alias("__lu")
+    times = (
+        previous.select(col(HASH_COLUMN).alias("__ref"), col(TIMESTAMP), col(LAST_UPDATED))
+        .groupBy(*apart_by(["__ref"]))
+        .agg(F.min(col(TIMESTAMP)).alias("__ts"), F.min(col(LAST_UPDATED)).alias("__lu"))
     )
     found = current.join(times, col(HASH_COLUMN) == col("__ref"), "left")
     known = col("__ref").isNotNull()
@@ -121,7 +123,7 @@ def hash_cdc(current: DataFrame, previous: DataFrame, now: Any) -> DataFrame:
         F.when(known, col("__ts")).otherwise(moment).alias(TIMESTAMP),
         F.when(known, col("__lu")).otherwise(moment).alias(LAST_UPDATED),
     )
-    refs = current.select(col(HASH_COLUMN).alias("__ref")).dropDuplicates()
+    refs = current.select(col(HASH_COLUMN).alias("__ref")).select(*apart_by(["__ref"])).dropDuplicates()
     gone = previous.join(refs, col(HASH_COLUMN) == col("__ref"), "left_anti").select(
         *[col(c) for c in data if c in previous.columns],
         col(HASH_COLUMN),

@@ -19,12 +19,16 @@ def keys_not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedup_by_key(
-    df: DataFrame, keys: Sequence[str], order_by: str | Column | Sequence[str | Column] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: str | Column | Sequence[str | Column] | None = None,
+    apart: bool = False,
 ) -> DataFrame:
     """One row per key: the first by ``order_by``, ties by row fingerprint, so a rerun keeps the same row.
 
     The rank filter becomes a group limit in front of the shuffle: each task sends at most one row per key, so a
-    key with a third of all rows stays cheap. A join on the same keys reuses the shuffle.
+    key with a third of all rows stays cheap. A join on the same keys reuses the shuffle, unless ``apart`` asks for
+    one of its own (see :func:`apart_by`).
     """
     if order_by is None:
         order_by = []
@@ -35,7 +39,8 @@ def dedup_by_key(
     # Different rows may share a fingerprint (NULL and empty text, a bar inside a value); this tells them apart.
     hashable = [f.name for f in df.schema.fields if _hashable(f.dataType)]
     order += [fingerprint, F.xxhash64(*[col(c) for c in hashable])]
-    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order)
+    groups = apart_by(keys) if apart else [col(k) for k in keys]
+    window = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
 
@@ -44,6 +49,15 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[col(k) for k in keys]).dropDuplicates()
 
 
+def apart_by(keys: Sequence[str]) -> list[Column]:
+    """Grouping columns for the unique side of a join whose other side may repeat a key without limit.
+
+    Groups are those of ``keys``. The extra column makes the join shuffle the groups once more, which is what lets AQE
+    split a skewed partition of the other side: it does so only where both inputs of the join are plain shuffles.
+    """
+    return [*[col(k) for k in keys], F.xxhash64(*[col(k) for k in keys]).alias("__apart")]
+
+
 def _hashable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
         return _hashable(data_type.elementType)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import HASH_COLUMN, col
-from .keys import dedup_by_key, distinct_keys
+from .keys import apart_by, dedup_by_key, distinct_keys
 from .projection import ensure_row_hash
 
 CHANGE = "__change"
@@ -23,18 +23,23 @@ def _key_side(target: DataFrame, keys: Sequence[str]) -> DataFrame:
     return distinct_keys(target, keys).select(*[col(k).alias(_key(k)) for k in keys])
 
 
+def _key_side_of_skewed(target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    renamed = target.select(*[col(k).alias(_key(k)) for k in keys])
+    return renamed.groupBy(*apart_by(renamed.columns)).agg(F.lit(True).alias("__known"))
+
+
 def _on_keys(keys: Sequence[str]) -> Column:
     return reduce(and_, [col(k) == col(_key(k)) for k in keys])
 
 
 def missing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks."""
-    return source.join(_key_side(target, keys), _on_keys(keys), "left_anti")
+    return source.join(_key_side_of_skewed(target, keys), _on_keys(keys), "left_anti")
 
 
 def existing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target has."""
-    return source.join(_key_side(target, keys), _on_keys(keys), "left_semi")
+    return source.join(_key_side_of_skewed(target, keys), _on_keys(keys), "left_semi")
 
 
 def append(target: DataFrame | None, source: DataFrame) -> DataFrame:
@@ -55,22 +60,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=N
     ``target`` must be unique by key, as the conflict rule of a database demands. Columns only the target has keep
     their value. One full outer join of two sides unique by key.
     """
-    rows = dedup_by_key(source, keys, order_by)
-    changed = [c for c in _as_target(rows, target).columns if c not in keys]
-    if not changed:
+    rows = _as_target(dedup_by_key(source, keys, order_by), target)
+    if set(rows.columns) <= set(keys):
         return append(target, missing_rows(rows, target, keys))
-    picked = rows.select(
-        *[col(k).alias(_key(k)) for k in keys], *[col(c).alias(_new(c)) for c in changed], F.lit(True).alias("__found")
-    )
-    joined = target.join(picked, _on_keys(keys), "full_outer")
-    found = col("__found").isNotNull()
-
-    def value(name: str) -> Column:
-        if name in keys:
-            return F.when(found, col(_key(name))).otherwise(col(name))
-        return F.when(found, col(_new(name))).otherwise(col(name)) if name in changed else col(name)
-
-    return joined.select(*[value(c).alias(c) for c in target.columns])
+    return _overlaid(target, rows, keys, "full_outer")
 
 
 def merge_changes(
@@ -96,33 +89,42 @@ def merge_changes(
     return joined.select(*[col(c) for c in source.columns], operation.alias(CHANGE))
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target after ``changes`` from :func:`merge_changes`.
+def reconcile(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    order_by=None,
+    changed_only: bool = False,
+    unique_target: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Insert missing rows and update existing ones: the new target and the changes that led to it.
 
-    The target streams through the join against rows unique by key, so it may repeat a key without limit.
+    Without ``unique_target`` a key may repeat in the target without limit, each of its rows is updated, and the
+    target streams through a join that splits skewed partitions. With it, one full outer join does.
     """
-    shared = [c for c in changes.columns if c != CHANGE and c in target.columns]
-    rest = [c for c in shared if c not in keys]
-    updates = changes.where(col(CHANGE) == "UPDATE").select(
-        *[col(k).alias(_key(k)) for k in keys], *[col(c).alias(_new(c)) for c in rest], F.lit(True).alias("__found")
+    changes = merge_changes(target, source, keys, order_by, changed_only)
+    if unique_target:
+        return _overlaid(target, _as_target(dedup_by_key(source, keys, order_by), target), keys, "full_outer"), changes
+    rows = _as_target(dedup_by_key(source, keys, order_by, apart=True), target)
+    inserts = merge_changes(target, source, keys, order_by).where(col(CHANGE) == "INSERT").drop(CHANGE)
+    return append(_overlaid(target, rows, keys, "left"), inserts), changes
+
+
+def _overlaid(target: DataFrame, rows: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """``target`` with the values of ``rows`` where the key matches."""
+    changed = [c for c in rows.columns if c not in keys]
+    picked = rows.select(
+        *[col(k).alias(_key(k)) for k in keys], *[col(c).alias(_new(c)) for c in changed], F.lit(True).alias("__found")
     )
-    joined = target.join(updates, _on_keys(keys), "left")
     found = col("__found").isNotNull()
-    kept = joined.select(
-        *[
-            (F.when(found, col(_new(c))).otherwise(col(c)) if c in rest else col(c)).alias(c)
-            for c in target.columns
-        ]
-    )
-    return append(kept, changes.where(col(CHANGE) == "INSERT").select(*[col(c) for c in shared]))
 
+    def value(name: str) -> Column:
+        if name in keys or name in changed:
+            new = col(_key(name) if name in keys else _new(name))
+            return F.when(found, new).otherwise(col(name)).alias(name)
+        return col(name)
 
-def reconcile(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=None, changed_only: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Insert missing rows and update existing ones: the new target and the changes that led to it."""
-    changes = merge_changes(target, source, keys, order_by, changed_only)
-    return apply_changes(target, changes, keys), changes
+    return target.join(picked, _on_keys(keys), how).select(*[value(c) for c in target.columns])
 
 
 def _as_target(source: DataFrame, target: DataFrame) -> DataFrame:

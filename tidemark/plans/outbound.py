@@ -12,7 +12,7 @@ from ..functions import HASH_COLUMN, col
 from ..operators.changelog import build_changelog
 from ..operators.export import prepare_export
 from ..operators.keys import dedup_by_key
-from ..operators.merge import CHANGE, append, apply_changes, merge_changes, reload, upsert
+from ..operators.merge import CHANGE, append, reconcile, reload, upsert
 from ..session import cut_lineage
 from ..sinks.files import CHANGELOG_CODEC, write_parquet
 from ..sinks.jdbc import append_jdbc, replace_jdbc
@@ -71,8 +71,7 @@ def run_plan(
         written = reload(source, plan.keys, order_by)
         result = append(base, written)
     else:
-        written = merge_changes(base, source, plan.keys, order_by)
-        result = apply_changes(base, written, plan.keys)
+        result, written = reconcile(base, source, plan.keys, order_by)
     return Export(result, written, build_changelog(written, now, job_id, plan.operation))
 
 
