@@ -115,6 +115,14 @@ def order_model(orders: str) -> str:
     return f"SELECT {', '.join(ORDER_MODEL)} FROM {orders} JOIN customer ON o_custkey = c_custkey"
 
 
+LINE_MODEL = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "o_orderdate", "c_name", "c_mktsegment"]
+
+
+def line_model(orders: str) -> str:
+    return f"""SELECT {', '.join(LINE_MODEL)}, {ref(LINE_MODEL)} AS r
+      FROM lineitem JOIN {orders} ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey"""
+
+
 def by_hash(columns: list[str], new: str, old: str) -> str:
     """Rows of ``new`` and ``old`` tagged by fingerprint; both relations carry ``r``."""
     c = ", ".join(columns)
@@ -241,6 +249,8 @@ ORACLES: dict[str, str] = {
     "model_refresh_next": f"""WITH {CURRENT}, {BEFORE}, m AS ({order_model('cur')}), p AS ({order_model('old')}),
         mr AS (SELECT *, {ref(ORDER_MODEL)} AS r FROM m), pr AS (SELECT *, {ref(ORDER_MODEL)} AS r FROM p)
         {by_hash(ORDER_MODEL, 'mr', 'pr')}""",
+    "model_refresh_lines": f"""WITH {CURRENT}, {BEFORE}, m AS ({line_model('cur')}), p AS ({line_model('old')})
+        {by_hash(LINE_MODEL, 'm', 'p')}""",
     "keys_not_null": f"WITH {DATED} SELECT o_orderkey, priority, price, customer FROM d WHERE price IS NOT NULL",
     "dedup_by_key": first_by(f'(SELECT *, {ref(LINES)} AS "$_ref" FROM lineitem)', ["l_orderkey", "l_linenumber"], '"$_ref"'),
     "dedup_by_cursor": first_by("events", ["user_id"], "ts DESC"),

@@ -431,6 +431,14 @@ def model_refresh_next(spark: SparkSession, sf: str) -> DataFrame:
     return refresh.refresh_model(spark, ORDER_MODEL, models, before, NOW)
 
 
+@query
+def model_refresh_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The next refresh of a model over the largest table, whose rows repeat."""
+    models = {n: table(spark, sf, n) for n in ("lineitem", "customer")}
+    before = refresh.refresh_model(spark, LINE_CUSTOMERS, models | {"orders": prior_orders(spark, sf)}, now=PRIOR)
+    return refresh.refresh_model(spark, LINE_CUSTOMERS, models | {"orders": current_orders(spark, sf)}, before, NOW)
+
+
 # --- filters, keys, change detection ---------------------------------------------------------------------------------
 
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import data_columns, quote, sanitize_name, unique_names
+from ..session import overridden
 
 # The kinds of definition and of join.
 STRUCTURED_TYPES = ("join", "aggregation", "filter")
@@ -78,18 +78,6 @@ def build_sql(definition: Definition, models: Sequence[str]) -> str:
     return "\n".join(clauses)
 
 
-@contextmanager
-def _double_quoted_identifiers(spark: SparkSession, wanted: bool):
-    name = "spark.sql.ansi.doubleQuotedIdentifiers"
-    before = spark.conf.get(name, "false")
-    if wanted:
-        spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def build_model(
     spark: SparkSession,
     definition: Definition | None,
@@ -107,7 +95,11 @@ def build_model(
     if not models:
         raise ValueError("a derived model needs a source model")
     register_models(spark, models)
-    with _double_quoted_identifiers(spark, double_quoted_identifiers):
-        rows = spark.sql(build_sql(definition, list(models)))
+    sql = build_sql(definition, list(models))
+    if double_quoted_identifiers:
+        with overridden(spark, spark__sql__ansi__doubleQuotedIdentifiers="true"):
+            rows = spark.sql(sql)
+    else:
+        rows = spark.sql(sql)
     numbered = rows.toDF(*unique_names(rows.columns))
     return numbered.select(*[quote(c) for c in data_columns(numbered.columns)])

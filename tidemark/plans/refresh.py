@@ -11,7 +11,7 @@ from ..operators.cdc import first_refresh, hash_cdc, live_rows
 from ..operators.models import Definition, build_model
 from ..operators.projection import with_row_hash
 from ..session import cut_lineage
-from .store import SnapshotStore, publish_snapshot, read_snapshot, versions
+from .store import SnapshotStore, next_version, publish_snapshot, read_snapshot
 
 
 def refresh_model(
@@ -44,7 +44,7 @@ def refresh_table(
     double_quoted_identifiers: bool = False,
 ) -> int:
     """Refresh a stored model; returns the new version."""
-    version = max(versions(spark, store), default=0) + 1
+    version = next_version(spark, store)
     previous = read_snapshot(spark, store)
     rows = refresh_model(spark, definition, models, previous, now, stage, double_quoted_identifiers)
     publish_snapshot(rows, store, version)

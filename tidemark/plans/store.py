@@ -1,29 +1,33 @@
 """Versions of a snapshot on storage, and its history.
 
-Layout: ``<base>/layout=plain/version=00000001``, or ``layout=buckets-<n>`` for bucketed versions, and
-``<base>/history/sync=00000001``. A version counts once its ``_SUCCESS`` marker is there, which Spark writes last, so
-a job that dies half-way leaves the earlier version in place. The latest two are kept.
+Layout: ``<base>/v00000001`` (``-b<n>`` appended when bucketed) and ``<base>/history/sync=00000001``. A version counts
+once its ``_SUCCESS`` marker is there, which Spark writes last, so a job that dies half-way leaves the earlier version
+in place. The latest two are kept.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import quote
-from ..sinks.files import SNAPSHOT_CODEC, write_parquet
+from ..session import overridden
+from ..sinks.files import SNAPSHOT_CODEC, rows_per_file, write_parquet
 from ..sources.storage import folders, path_exists, remove_folder
 
 
 @dataclass(frozen=True)
 class Buckets:
-    """Store a snapshot bucketed and sorted by ``keys``, so that comparing with it needs no shuffle of it.
+    """Store compared snapshots bucketed and sorted by ``keys``: comparing with them needs no shuffle of them.
 
-    ``count`` fixes the parallelism of the compare: aim at a few hundred megabytes per bucket.
+    ``count`` is also the number of shuffle partitions of the compare: aim at a few hundred megabytes per bucket.
+    Only compared snapshots are unique by key; the plain first one, where a key may repeat, is not bucketed.
     """
 
     keys: tuple[str, ...]
@@ -35,73 +39,84 @@ class SnapshotStore:
     base: str
     buckets: Buckets | None = None
 
-    @property
-    def root(self) -> str:
-        layout = f"buckets-{self.buckets.count}" if self.buckets else "plain"
-        return f"{self.base.rstrip('/')}/layout={layout}"
-
-    def version_path(self, version: int) -> str:
-        return f"{self.root}/version={version:08d}"
-
     @property
     def history_path(self) -> str:
         return f"{self.base.rstrip('/')}/history"
 
+    def version_path(self, version: int, buckets: int = 0) -> str:
+        return f"{self.base.rstrip('/')}/v{version:08d}" + (f"-b{buckets}" if buckets else "")
+
 
-def versions(spark: SparkSession, store: SnapshotStore) -> list[int]:
+class Version(NamedTuple):
+    number: int
+    buckets: int  # 0 when not bucketed
+
+
+def versions(spark: SparkSession, store: SnapshotStore) -> list[Version]:
     """Complete versions, oldest first."""
     found = []
-    for name in folders(spark, store.root):
-        match = re.fullmatch(r"version=([0-9]+)", name)
-        if match and path_exists(spark, f"{store.root}/{name}/_SUCCESS"):
-            found.append(int(match.group(1)))
+    for name in folders(spark, store.base):
+        match = re.fullmatch(r"v([0-9]+)(?:-b([0-9]+))?", name)
+        if match and path_exists(spark, f"{store.base.rstrip('/')}/{name}/_SUCCESS"):
+            found.append(Version(int(match[1]), int(match[2] or 0)))
     return sorted(found)
 
 
-def publish_snapshot(df: DataFrame, store: SnapshotStore, version: int, keep: int = 2) -> None:
+def next_version(spark: SparkSession, store: SnapshotStore) -> int:
+    return max((v.number for v in versions(spark, store)), default=0) + 1
+
+
+def publish_snapshot(df: DataFrame, store: SnapshotStore, version: int, unique: bool = False, keep: int = 2) -> None:
     """Write ``df`` as ``version``; afterwards only the latest ``keep`` versions remain.
 
     ``df`` may be computed from earlier versions: it never writes where it reads. Writing the same version again
-    replaces it.
+    replaces it. ``unique`` says that no key repeats, which bucketing needs.
     """
     spark = df.sparkSession
-    path = store.version_path(version)
-    if store.buckets:
+    written = Version(version, store.buckets.count if store.buckets and unique else 0)
+    path = store.version_path(*written)
+    if written.buckets:
         name = _table_name()
-        (
-            df.write.mode("overwrite")
-            .option("compression", SNAPSHOT_CODEC)
-            .option("path", path)
-            .bucketBy(store.buckets.count, *store.buckets.keys)
-            .sortBy(*store.buckets.keys)
-            .saveAsTable(name)
-        )
+        with _aligned(spark, store):
+            (
+                df.write.mode("overwrite")
+                .option("compression", SNAPSHOT_CODEC)
+                .option("maxRecordsPerFile", rows_per_file(len(df.columns)))
+                .option("path", path)
+                .bucketBy(written.buckets, *store.buckets.keys)
+                .sortBy(*store.buckets.keys)
+                .saveAsTable(name)
+            )
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
     else:
         write_parquet(df, path, mode="overwrite")
-    for old in [v for v in versions(spark, store) if v <= version][:-keep]:
-        remove_folder(spark, store.version_path(old))
+    known = versions(spark, store)
+    numbers = sorted({v.number for v in known if v.number <= version})[-keep:]
+    for old in known:
+        if old.number < numbers[0] or (old.number == version and old != written):
+            remove_folder(spark, store.version_path(*old))
 
 
 def read_snapshot(spark: SparkSession, store: SnapshotStore, before: int | None = None) -> DataFrame | None:
     """The latest version (older than ``before`` if given), or None."""
-    known = [v for v in versions(spark, store) if before is None or v < before]
+    known = [v for v in versions(spark, store) if before is None or v.number < before]
     return read_version(spark, store, known[-1]) if known else None
 
 
-def read_version(spark: SparkSession, store: SnapshotStore, version: int) -> DataFrame:
-    path = store.version_path(version)
+def read_version(spark: SparkSession, store: SnapshotStore, version: Version) -> DataFrame:
+    path = store.version_path(*version)
     rows = spark.read.parquet(path)
-    if not store.buckets:
+    if not version.buckets or not store.buckets:
         return rows
-    columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields)
     keys = ", ".join(quote(k) for k in store.buckets.keys)
     name = _table_name()
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
-        f"INTO {store.buckets.count} BUCKETS LOCATION '{path}'"
+        f"CREATE TABLE {name} ({rows.schema.toDDL()}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+        f"INTO {version.buckets} BUCKETS LOCATION '{path}'"
     )
-    return spark.table(name)
+    bucketed = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return bucketed
 
 
 def write_history(changes: DataFrame, store: SnapshotStore, version: int) -> None:
@@ -113,8 +128,18 @@ def read_history(spark: SparkSession, store: SnapshotStore) -> DataFrame | None:
     """All recorded changes; columns that came later are NULL in earlier rows."""
     if not folders(spark, store.history_path):
         return None
-    rows = spark.read.option("mergeSchema", True).option("basePath", store.history_path).parquet(store.history_path)
-    return rows.drop("sync")
+    return spark.read.option("mergeSchema", True).parquet(store.history_path).drop("sync")
+
+
+@contextmanager
+def _aligned(spark: SparkSession, store: SnapshotStore) -> Iterator[None]:
+    """Shuffle by key into as many partitions as there are buckets, so that each task holds whole buckets."""
+    with overridden(
+        spark,
+        spark__sql__shuffle__partitions=store.buckets.count,
+        spark__sql__adaptive__coalescePartitions__initialPartitionNum=store.buckets.count,
+    ):
+        yield
 
 
 def _table_name() -> str:

@@ -14,7 +14,7 @@ from ..operators.cdc import cdc_compare, live_rows
 from ..operators.history import history_changes
 from ..operators.metrics import metric_columns
 from ..operators.projection import Spec, project, tag_snapshot, with_row_hash
-from .store import SnapshotStore, publish_snapshot, read_snapshot, read_version, versions, write_history
+from .store import SnapshotStore, next_version, publish_snapshot, read_snapshot, write_history
 
 
 @dataclass(frozen=True)
@@ -68,14 +68,14 @@ def sync_table(
     Giving ``version`` makes a repeat of the same sync harmless.
     """
     spark = source.sparkSession
-    if version is None:
-        version = max(versions(spark, store), default=0) + 1
+    version = version or next_version(spark, store)
     previous = read_snapshot(spark, store, before=version)
     rows = synced_rows(source, previous, keys, now, mappings, schema, exact, order_by)
+    compared = bool(keys) and previous is not None
     seen = Observation()
-    publish_snapshot(rows.observe(seen, *metric_columns()), store, version)
+    publish_snapshot(rows.observe(seen, *metric_columns()), store, version, unique=compared)
     counts = dict(seen.get)
     if keys and counts["rows"] > counts["no_change_rows"]:
-        compared = previous is not None
-        write_history(history_changes(read_version(spark, store, version), now, unique_rows=compared), store, version)
+        written = read_snapshot(spark, store, before=version + 1)
+        write_history(history_changes(written, now, unique_rows=compared), store, version)
     return SyncResult(version, counts)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +50,23 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def overridden(spark: SparkSession, **settings: str | int) -> Iterator[None]:
+    """Run a block with other session settings; ``__`` in a name stands for a dot."""
+    names = {name.replace("__", "."): str(value) for name, value in settings.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``.
 
