@@ -150,7 +150,7 @@ MERGED = f"""
 
 
 def checksum(name: str, refs: str) -> str:
-    words = ", ".join(f"CAST(sum(CAST('0x' || substr(r, {8 * i + 1}, 8) AS BIGINT)) AS VARCHAR)" for i in range(4))
+    words = ", ".join(f"CAST(sum(CAST('0x' || substr(r, {start}, 15) AS BIGINT)) AS VARCHAR)" for start in (1, 16))
     return f"""SELECT '{name}' AS version,
       CASE WHEN count(*) = 0 THEN 'empty' ELSE md5(concat_ws('|', CAST(count(*) AS VARCHAR), {words})) END AS checksum,
       count(*) AS row_count FROM ({refs})"""

@@ -704,9 +704,10 @@ def partition_build_all(spark: SparkSession, sf: str) -> DataFrame:
 def model_graph(spark: SparkSession, sf: str) -> DataFrame:
     """Every row as a model built from the rows it refers to: nation, customer and supplier, order, line."""
 
-    def models(name: str, kind: str, model_id: str, *sources: str) -> DataFrame:
+    def models(name: str | DataFrame, kind: str, model_id: str, *sources: str) -> DataFrame:
+        rows = table(spark, sf, name) if isinstance(name, str) else name
         built_from = f"array({', '.join(sources)})" if sources else "CAST(array() AS array<string>)"
-        return table(spark, sf, name).selectExpr(
+        return rows.selectExpr(
             f"{model_id} AS id", f"'{kind}' AS model_kind", f"{built_from} AS source_models"
         )
 
@@ -716,14 +717,14 @@ def model_graph(spark: SparkSession, sf: str) -> DataFrame:
         models("supplier", "derived", "concat('s:', s_suppkey)", "concat('n:', s_nationkey)"),
         models("orders", "derived", "concat('o:', o_orderkey)", "concat('c:', o_custkey)"),
         models(
-            "lineitem",
+            table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").distinct(),
             "derived",
             "concat('l:', l_orderkey, '/', l_suppkey)",
             "concat('o:', l_orderkey)",
             "concat('s:', l_suppkey)",
         ),
     ]
-    return reduce(DataFrame.unionAll, parts).dropDuplicates(["id"])
+    return reduce(DataFrame.unionAll, parts)
 
 
 @query

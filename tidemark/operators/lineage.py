@@ -15,49 +15,44 @@ def dependents(models: DataFrame, model_id: str) -> DataFrame:
 
 def dependency_edges(models: DataFrame) -> DataFrame:
     """One row (source, id) per source of a derived model."""
-    return (
-        models.where("model_kind = 'derived'")
-        .select(F.explode("source_models").alias("source"), "id")
-        .dropDuplicates()
-    )
+    derived = models.where(F.col("model_kind") == "derived")
+    return derived.select(F.explode(F.array_distinct("source_models")).alias("source"), "id")
 
 
 def refresh_order(models: DataFrame, model_id: str) -> DataFrame:
     """Every model reached from ``model_id`` with the round (``level``) in which to refresh it.
 
     A model comes after all of its sources that are refreshed as well. Models on a cycle make this an error. Two
-    loops over the depth of the graph: the first collects what is reached, the second peels off, round by round,
-    the models with no source left. Each round is one join on the edges, written to the shared folder.
+    loops over the depth of the graph: the first collects what is reached, the second takes, round by round, the
+    models whose sources are all done. Each round is written to the shared folder.
     """
     edges = cut_lineage(dependency_edges(models))
-    spark = models.sparkSession
-    frontier = spark.range(1).select(F.lit(model_id).alias("id"))
-    reached = None
+    frontier = models.sparkSession.range(1).select(F.lit(model_id).alias("id"))
+    reached = frontier.limit(0)
     while True:
-        step = edges.join(frontier.select(F.col("id").alias("source")), "source").select("id").distinct()
-        if reached is not None:
-            step = step.join(reached, "id", "left_anti")
-        frontier = cut_lineage(step)
+        step = edges.join(_as_source(frontier), "source").select("id").distinct()
+        frontier = cut_lineage(step.join(reached, "id", "left_anti"))
         if frontier.isEmpty():
             break
-        reached = frontier if reached is None else reached.unionByName(frontier)
-    if reached is None:
-        return frontier.select("id", F.lit(0).alias("level"))
+        reached = reached.unionByName(frontier)
     # The root itself never waits for a refresh, unless a cycle leads back to it.
     if not reached.where(F.col("id") == model_id).isEmpty():
         raise ValueError(f"models depend on each other in a cycle through {model_id!r}")
 
-    waiting = cut_lineage(
-        edges.join(reached.select(F.col("id").alias("source")), "source", "left_semi")
-    )
-    pending, ordered, level = reached, None, 0
-    while not pending.isEmpty():
+    inner = cut_lineage(edges.join(_as_source(reached), "source", "left_semi"))
+    done = reached.limit(0).select("id", F.lit(0).alias("level"))
+    level = 0
+    while True:
         level += 1
-        ready = cut_lineage(pending.join(waiting.select("id").distinct(), "id", "left_anti"))
+        waiting = inner.join(_as_source(done), "source", "left_anti").select("id").distinct()
+        ready = cut_lineage(reached.join(waiting, "id", "left_anti").join(done, "id", "left_anti"))
         if ready.isEmpty():
-            raise ValueError(f"models depend on each other in a cycle below {model_id!r}")
-        leveled = ready.select("id", F.lit(level).alias("level"))
-        ordered = leveled if ordered is None else ordered.unionByName(leveled)
-        pending = cut_lineage(pending.join(ready, "id", "left_anti"))
-        waiting = cut_lineage(waiting.join(ready.select(F.col("id").alias("source")), "source", "left_anti"))
-    return ordered
+            break
+        done = done.unionByName(ready.select("id", F.lit(level).alias("level")))
+    if not reached.join(done, "id", "left_anti").isEmpty():
+        raise ValueError(f"models depend on each other in a cycle below {model_id!r}")
+    return done
+
+
+def _as_source(ids: DataFrame) -> DataFrame:
+    return ids.select(F.col("id").alias("source"))

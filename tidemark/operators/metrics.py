@@ -44,18 +44,15 @@ def stored_bytes(df: DataFrame) -> DataFrame:
 def table_checksum(df: DataFrame) -> DataFrame:
     """A checksum of all rows in any order, and their number.
 
-    The row fingerprints are added up as four 32-bit words, so tasks merge four numbers instead of sorting all
-    fingerprints in one place, and repeated rows count. Without a fingerprint column it is taken over all columns.
+    The row fingerprints are added up as two numbers of 15 hexadecimal digits, so tasks merge two sums instead of sorting
+    all fingerprints in one place, and repeated rows count. Without a fingerprint column it is taken over all columns.
     """
     ref = col(HASH_COLUMN) if HASH_COLUMN in df.columns else row_hash(df, df.columns)
-    words = df.select(
-        *[
-            F.conv(F.substring(ref, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)").alias(f"w{i}")
-            for i in range(4)
-        ]
+    number = [F.conv(F.substring("ref", start, 15), 16, 10).cast("bigint").cast("decimal(28,0)") for start in (1, 16)]
+    sums = df.select(ref.alias("ref")).agg(
+        F.count("*").alias("row_count"), F.sum(number[0]).alias("high"), F.sum(number[1]).alias("low")
     )
-    sums = words.agg(F.count("*").alias("row_count"), *[F.sum(f"w{i}").alias(f"w{i}") for i in range(4)])
-    joined = F.concat_ws("|", F.col("row_count").cast("string"), *[F.col(f"w{i}").cast("string") for i in range(4)])
+    joined = F.concat_ws("|", *[F.col(c).cast("string") for c in ("row_count", "high", "low")])
     return sums.select(
         F.when(F.col("row_count") == 0, EMPTY_CHECKSUM).otherwise(F.md5(joined)).alias("checksum"), "row_count"
     )
