@@ -62,7 +62,7 @@ def _from_text(text: Column, target: str) -> Column:
         return F.when(text.rlike(_NUMBER) | text.rlike(_NOT_FINITE), text.try_cast("double"))
     if target in ("date", "timestamp_ntz"):
         return F.when(text.rlike(_DATE), F.translate(text, "/", "-").try_cast(target))
-    return text.try_cast(target)
+    return F.when(text.rlike(r"^\S+$"), text.try_cast(target))  # boolean words stand without space around them
 
 
 def zero_date_to_null(value: Column, type_name: str | None) -> Column:

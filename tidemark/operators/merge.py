@@ -12,9 +12,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import HASH_COLUMN, col
+from ..functions import col, data_columns, row_hash
 from .keys import apart_by, dedup_by_key, distinct_keys
-from .projection import ensure_row_hash
 
 CHANGE = "__change"
 
@@ -71,20 +70,22 @@ def merge_changes(
 ) -> DataFrame:
     """What :func:`reconcile` does to the target: one source row per key with its operation in ``__change``.
 
-    ``changed_only`` leaves out updates that would not change the fingerprint; then ``target`` must be unique by key.
+    ``changed_only`` leaves out updates that would not change a shared column; then ``target`` must be unique by key.
     """
     rows = dedup_by_key(source, keys, order_by)
     if changed_only:
-        rows = ensure_row_hash(rows)
-        shared = [c for c in rows.columns if c in target.columns and c != HASH_COLUMN]
-        known = ensure_row_hash(target.select(*[col(c) for c in shared])).select(
-            *[col(k).alias(_key(k)) for k in keys], col(HASH_COLUMN).alias("__ref"), F.lit(True).alias("__known")
+        shared = [c for c in data_columns(source.columns) if c in target.columns]
+        rows = rows.withColumn("__hash", row_hash(rows, shared))
+        known = target.select(
+            *[col(k).alias(_key(k)) for k in keys],
+            row_hash(target, shared).alias("__known_hash"),
+            F.lit(True).alias("__known"),
         )
     else:
         known = _key_side(target, keys).withColumn("__known", F.lit(True))
     joined = rows.join(known, _on_keys(keys), "left")
     if changed_only:
-        joined = joined.where(col("__known").isNull() | (col(HASH_COLUMN) != col("__ref")))
+        joined = joined.where("__known IS NULL OR __hash <> __known_hash")
     operation = F.when(col("__known").isNull(), "INSERT").otherwise("UPDATE")
     return joined.select(*[col(c) for c in source.columns], operation.alias(CHANGE))
 
