@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tidemark.operators import changelog, export, lineage, merge, models, partitions, projection
+from tidemark.plans import outbound
 from tidemark.plans.outbound import WritePlan, run_plan, write_plan
 
 NOW = "2025-01-02 00:00:00"
@@ -89,6 +90,23 @@ def test_plan_for_a_new_table(source):
     assert result.target.count() == 3 and result.target.columns == source.columns
 
 
+@pytest.mark.parametrize("keys,kind", [([], "postgres"), (["k"], "postgres"), (["k"], "mysql")])
+def test_export_to_a_database(spark, target, source, tmp_path, monkeypatch, keys, kind):
+    sent = {}
+    monkeypatch.setattr(outbound, "append_jdbc", lambda df, options: sent.update(appended=df.collect()))
+    monkeypatch.setattr(outbound, "replace_jdbc", lambda df, options: sent.update(replaced=df.collect()))
+    snapshot = projection.tag_snapshot(source, NOW)
+    plan = write_plan({"primaryKey": keys}, kind)
+    schema = T.StructType([T.StructField("K", T.IntegerType(), False), T.StructField("V", T.StringType(), False)])
+    path = str(tmp_path / "log")
+    for _ in range(2):
+        outbound.export_to_jdbc(snapshot, {}, plan, NOW, "j", target, schema, path)
+    rows = sent.get("appended") or sent.get("replaced")
+    assert set(sent) == ({"replaced"} if keys else {"appended"})
+    assert len(rows) == (4 if keys else 4) and (0, "n") in {(r["k"], r["v"]) for r in rows}
+    assert outbound.read_changelog(spark, path).count() == 2 * (3 if keys else 4)
+
+
 def test_unknown_target():
     with pytest.raises(ValueError):
         write_plan({}, "oracle")

@@ -61,7 +61,12 @@ def _from_text(text: Column, target: str) -> Column:
     if target == "double":
         return F.when(text.rlike(_NUMBER) | text.rlike(_NOT_FINITE), text.try_cast("double"))
     if target in ("date", "timestamp_ntz"):
-        return F.when(text.rlike(_DATE), F.translate(text, "/", "-").try_cast(target))
+        dashed = F.translate(text, "/", "-")
+        moment = F.when(text.rlike(_DATE), dashed.try_cast("timestamp_ntz"))
+        if target == "timestamp_ntz":
+            return moment
+        # What follows a date must be a valid time of day, though it is not used.
+        return F.when(text.rlike(_DATE + r"\s*$"), dashed.try_cast("date")).otherwise(moment.cast("date"))
     return F.when(text.rlike(r"^\S+$"), text.try_cast(target))  # boolean words stand without space around them
 
 

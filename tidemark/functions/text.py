@@ -30,12 +30,16 @@ def text_form(value: Column, data_type: T.DataType) -> Column:
     mantissa = F.when(enough, shorter).otherwise(digits.try_cast("decimal(18,16)").cast("string"))
     mantissa = F.regexp_replace(mantissa, r"\.?0+$", "")
     exponent = F.format_string("e%+03d", power.try_cast("int"))
+
+    def limit(number: float) -> Column:
+        return F.lit(number).cast(data_type)
+
     # NaN orders above every number, so it is tested first.
     return (
         F.when(F.isnan(value), "nan")
         .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
-        .when((size >= 1e16) | ((size < 1e-4) & (size > 0)), F.concat(mantissa, exponent))
-        .when((size >= 1e7) | ((size < 1e-3) & (size > 0)), plain)
+        .when((size >= limit(1e16)) | ((size < limit(1e-4)) & (size > 0)), F.concat(mantissa, exponent))
+        .when((size >= limit(1e7)) | ((size < limit(1e-3)) & (size > 0)), plain)
         .otherwise(text)
     )
 

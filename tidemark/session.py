@@ -77,7 +77,7 @@ def shared_dir(spark: SparkSession) -> str:
     error, because a machine-local folder would lose data.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
