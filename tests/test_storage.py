@@ -201,6 +201,16 @@ def test_csv_sink(spark, tmp_path):
         write_csv(df, str(tmp_path), if_exists="ignore", **args)
 
 
+def test_csv_numbers_come_back(spark, tmp_path):
+    df = spark.sql("SELECT * FROM VALUES (1, 12345678.9D), (2, 1e-5D), (3, 1e17D), (4, double('nan')), (5, double('-inf')), (6, NULL) AS t(i, d)")
+    path = write_csv(df, str(tmp_path), "d.csv")
+    text = "".join(open(f).read() for f in glob.glob(f"{path}/*.csv"))
+    assert all(t in text for t in ("12345678.9", "1e-05", "1e+17", "nan", "-inf"))
+    back = read_csv(spark, path)
+    assert dict(back.dtypes)["d"] == "double"
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.selectExpr("bigint(i) AS i", "d").collect()))
+
+
 def test_file_size_bound(spark, tmp_path):
     assert rows_per_file(20) == (10 << 30) // (20 * 1024)
     write_parquet(spark.range(0, 100, 1, 1), str(tmp_path / "p"), max_bytes=30 * 1024)

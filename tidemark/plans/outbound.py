@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from ..functions import HASH_COLUMN, col
+from ..functions import HASH_COLUMN
 from ..operators.changelog import build_changelog
 from ..operators.export import prepare_export
 from ..operators.keys import dedup_by_key
@@ -58,10 +58,12 @@ def write_plan(config: Mapping[str, Any], target_kind: str) -> WritePlan:
 def run_plan(
     plan: WritePlan, target: DataFrame | None, source: DataFrame, now: Any, job_id: str | None = None, order_by=None
 ) -> Export:
-    """Work out an export without writing it. ``source`` comes from :func:`prepare_export`; ``target`` is None if new."""
-    source = source.select(*[col(c) for c in source.columns if c != HASH_COLUMN])
+    """Work out an export without writing it. ``source`` comes from :func:`prepare_export`; ``target`` is None if new.
+
+    The fingerprint of ``source``, if it has one, only helps to choose between rows of one key.
+    """
     if target is None:
-        target = source.limit(0)
+        target = source.drop(HASH_COLUMN).limit(0)
     base = target.limit(0) if plan.clear_first else target
     if plan.action == "append":
         written, result = source, append(base, source)
@@ -72,7 +74,7 @@ def run_plan(
         result = append(base, written)
     else:
         result, written = reconcile(base, source, plan.keys, order_by)
-    return Export(result, written, build_changelog(written, now, job_id, plan.operation))
+    return Export(result, written.drop(HASH_COLUMN), build_changelog(written, now, job_id, plan.operation))
 
 
 def export_to_jdbc(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import col, expand_file_name
+from ..functions import col, expand_file_name, text_form
 from ..sources.storage import move, path_exists
 
 # Largest file, the size guess per value, and the codecs of snapshots and of changelogs.
@@ -43,6 +43,8 @@ def _csv_value(field: T.StructField):
     value = col(field.name)
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         return value.cast("string").alias(field.name)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return text_form(value, field.dataType).alias(field.name)
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
         return F.to_json(value).alias(field.name)
     return value
@@ -61,7 +63,7 @@ def write_csv(
     """CSV under a name from a template; returns where it went.
 
     The name is a folder that all tasks write to. If it exists: ``error``, ``overwrite``, or ``archive`` (the old one
-    moves to ``archive/`` first). Nested values are written as JSON.
+    moves to ``archive/`` first). Nested values are written as JSON, numbers as in the row fingerprint.
     """
     now = dt.datetime.fromisoformat(now) if isinstance(now, str) else now or dt.datetime.now(dt.timezone.utc)
     name = expand_file_name(name_template or "export_{timestamp}.csv", now, model_name)

@@ -40,6 +40,7 @@ def read_csv(
     ``infer=False`` and let the casts do it. ``multiline`` allows line breaks in quotes but makes each file one task.
     """
     reader = spark.read.options(header=True, sep=delimiter, quote='"', escape='"', multiLine=multiline)
+    reader = reader.options(nanValue="nan", positiveInf="inf", negativeInf="-inf")
     if schema is not None:
         return reader.schema(schema).csv(path)
     return _plain_types(reader.option("inferSchema", infer).csv(path))
