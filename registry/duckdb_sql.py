@@ -306,11 +306,16 @@ ORACLES: dict[str, str] = {
     "outbound_reconcile_changelog": f"WITH {CURRENT}, {BEFORE} SELECT *, {LOG_NOW} FROM cur",
     "outbound_reload_changelog": f"""WITH {CURRENT}
         SELECT *, {log_columns("'TRUNCATE_RELOAD'", '2025-01-02T00:00:00.000Z', 'job-1')} FROM cur""",
+    "outbound_csv": f"{CDC} SELECT * FROM cdc",
     "partition_filter": "SELECT * FROM orders WHERE o_orderpriority = '3-MEDIUM'",
     "partition_build": " UNION ALL ".join(
         f"SELECT '{'clients' if name == 'customer' else name}' AS table_name, {ref(cols)} AS \"$_ref\" FROM {t} WHERE {key} = 7"
         for name, (t, key, cols) in TABLES_OF_7.items()
     ),
+    "partition_extract": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {ref(cols)} AS \"$_ref\" FROM {t} WHERE {key} = 7"
+        for name, (t, key, cols) in TABLES_OF_7.items()
+    ),
     "partition_stats": "WITH s AS ("
     + " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {t} WHERE {key} = 7"

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions import HASH_COLUMN, col, safe_cast, zero_date_to_null
 from tidemark.operators import cdc, changelog, export, history, keys, lineage, merge, metrics, partitions, projection
 from tidemark.operators.models import build_model
-from tidemark.plans import outbound, refresh
+from tidemark.plans import extracts, outbound, refresh
 from tidemark.plans.store import Buckets, SnapshotStore, read_history, read_snapshot
 from tidemark.plans.sync import left_out_rows, sync_table
 from tidemark.session import scratch_path
@@ -662,6 +662,13 @@ def outbound_reload_changelog(spark: SparkSession, sf: str) -> DataFrame:
     return exported(spark, sf, {"primaryKey": ["o_orderkey"], "truncateFirst": True}, "mysql").changelog
 
 
+@query
+def outbound_csv(spark: SparkSession, sf: str) -> DataFrame:
+    config = {"remotePath": scratch_path(spark, "out"), "fileName": "{model_name}_{date}.csv", "archiveAfterUpload": True}
+    path, _ = outbound.export_to_csv(compared(spark, sf), config, NOW, "orders", delimiter="|")
+    return read_csv(spark, path, delimiter="|")
+
+
 # --- partitions ------------------------------------------------------------------------------------------------------
 
 
@@ -686,6 +693,17 @@ def partition_build(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+@query
+def partition_extract(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_path(spark, "extract")
+    built = partitions.build_partition(nation_models(spark, sf), "nation", "7")
+    extracts.write_partition(built, base, "by-nation", "7")
+    names = [n for n in built]
+    back = [read_source(spark, f"{extracts.extract_path(base, 'by-nation', '7')}/{n}", "parquet") for n in names]
+    parts = [projection.with_row_hash(df).select(F.lit(n).alias("table_name"), col(HASH_COLUMN)) for n, df in zip(names, back)]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query
 def partition_stats(spark: SparkSession, sf: str) -> DataFrame:
     return partitions.partition_stats(partitions.build_partition(nation_models(spark, sf), "nation", "7"))

@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, projection
+from tidemark.operators.partitions import build_partition
+from tidemark.plans.extracts import extract_path, write_partition
+from tidemark.plans.outbound import export_to_csv
 from tidemark.plans.refresh import refresh_table
 from tidemark.plans.store import (
     Buckets,
@@ -211,6 +214,25 @@ def test_csv_numbers_come_back(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, df.selectExpr("bigint(i) AS i", "d").collect()))
 
 
+def test_csv_target_settings(spark, tmp_path):
+    config = {"remotePath": str(tmp_path), "fileName": "x.csv"}
+    assert export_to_csv(spark.range(3), config, DAYS[0]) == (f"{tmp_path}/x.csv", 3)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        export_to_csv(spark.range(3), config, DAYS[0])
+    assert export_to_csv(spark.range(4), config | {"overwriteExisting": True}, DAYS[0])[1] == 4
+    export_to_csv(spark.range(5), config | {"archiveAfterUpload": True}, DAYS[0])
+    assert len(os.listdir(tmp_path / "archive")) == 1 and read_csv(spark, f"{tmp_path}/x.csv").count() == 5
+    assert export_to_csv(spark.range(1), {"remotePath": str(tmp_path)}, DAYS[0])[0].endswith("/export_1735689600000.csv")
+
+
+def test_partition_extract(spark, tmp_path):
+    tables = build_partition({"a b": spark.range(3).selectExpr("'x/y' AS p", "id"), "c": spark.sql("SELECT 'z' AS p")}, "p", "x/y")
+    for _ in range(2):
+        counts = write_partition(tables, str(tmp_path), "rule", "x/y")
+    assert counts == {"a b": 3, "c": 0, "total_rows": 3}
+    assert spark.read.parquet(f"{extract_path(str(tmp_path), 'rule', 'x/y')}/a%20b").count() == 3
+
+
 def test_file_size_bound(spark, tmp_path):
     assert rows_per_file(20) == (10 << 30) // (20 * 1024)
     write_parquet(spark.range(0, 100, 1, 1), str(tmp_path / "p"), max_bytes=30 * 1024)

@@ -271,3 +271,4 @@ def test_projection_choice(spark):
 def test_mappings_from_nested_schema():
     schema = [{"name": "g", "children": [{"name": "t", "sourceColumn": "s"}, {"name": "u"}]}, {"name": "h"}]
     assert projection.mappings_from_schema(schema) == [{"source": "s", "target": "t"}]
+    assert projection.mappings_from_schema(schema[0]) == [{"source": "s", "target": "t"}]

@@ -67,9 +67,10 @@ def apply_schema(df: DataFrame, schema: Sequence[Spec]) -> DataFrame:
     return apply_field_mappings(df, [{"source": f["name"], "target": f["name"]} for f in schema], schema)
 
 
-def mappings_from_schema(schema: Sequence[Spec]) -> list[dict[str, str]]:
-    """Mappings hidden in a nested schema: its children name a source column and a target."""
-    children = (child for field in schema for child in field.get("children") or [])
+def mappings_from_schema(schema: Spec | Sequence[Spec]) -> list[dict[str, str]]:
+    """Mappings hidden in a nested schema (or several): its children name a source column and a target."""
+    parents = [schema] if isinstance(schema, Mapping) else schema
+    children = (child for parent in parents for child in parent.get("children") or [])
     return [
         {"source": child["sourceColumn"], "target": child["name"]}
         for child in children

@@ -6,7 +6,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..functions import HASH_COLUMN
 from ..operators.changelog import build_changelog
@@ -14,7 +15,7 @@ from ..operators.export import prepare_export
 from ..operators.keys import dedup_by_key
 from ..operators.merge import CHANGE, append, reconcile, reload, upsert
 from ..session import cut_lineage
-from ..sinks.files import CHANGELOG_CODEC, write_parquet
+from ..sinks.files import CHANGELOG_CODEC, write_csv, write_parquet
 from ..sinks.jdbc import append_jdbc, replace_jdbc
 
 # The operation names the changelog carries per plan. A reconciled row carries its own.
@@ -104,6 +105,31 @@ def export_to_jdbc(
         append_changelog(entries, changelog_path)
 
 
+def export_to_csv(
+    snapshot: DataFrame,
+    config: Mapping[str, Any],
+    now: Any,
+    model_name: str = "export",
+    header: bool = True,
+    delimiter: str = ",",
+) -> tuple[str, int]:
+    """Write a whole snapshot, system columns included, as the settings of a file target say.
+
+    ``config`` has ``remotePath``, ``fileName``, ``overwriteExisting`` and ``archiveAfterUpload``. Returns where it went and
+    the number of rows, counted while they were written.
+    """
+    if config.get("overwriteExisting"):
+        if_exists = "overwrite"
+    else:
+        if_exists = "archive" if config.get("archiveAfterUpload") else "error"
+    seen = Observation()
+    rows = snapshot.observe(seen, F.count("*").alias("rows"))
+    path = write_csv(
+        rows, config["remotePath"], config.get("fileName"), header, delimiter, if_exists, now, model_name
+    )
+    return path, seen.get["rows"]
+
+
 def append_changelog(entries: DataFrame, path: str) -> None:
     """Add entries to a stored changelog; earlier files are not rewritten."""
     write_parquet(entries, path, codec=CHANGELOG_CODEC, mode="append")
