@@ -90,6 +90,16 @@ def test_drift_of_columns_and_types(spark):
     assert out[2]["a"] == 6 and out[2]["extra"] is None and str(out[2]["$_last_updated"]) == T2
 
 
+def test_repeated_keys_keep_the_same_row_on_both_sides(spark):
+    rows = frame(spark, [(1, "a", float(v)) for v in range(20)])
+    latest = F.col("v").desc()
+    out = cdc.cdc_compare(rows, projection.snapshot(rows, now=T1), ["k1"], T2, latest).collect()
+    assert [(r["v"], r["$_operation"]) for r in out] == [(19.0, "NO_CHANGE")]
+    newer = rows.withColumn("at", F.col("v"))
+    out = cdc.cdc_compare(newer, projection.snapshot(rows, now=T1), ["k1"], T2, F.col("at").desc()).collect()
+    assert [(r["v"], r["$_operation"]) for r in out] == [(19.0, "UPDATE")]
+
+
 def test_nan_is_a_key(spark):
     df = spark.createDataFrame([(float("nan"), 1), (None, 2)], "k double, v int")
     assert keys.keys_not_null(df, ["k"]).count() == 1

@@ -66,8 +66,8 @@ def test_bucketed_compare_shuffles_the_current_side_only(spark, tmp_path):
     rows = spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     sync_table(rows, store, ["k"], DAYS[0])
     sync_table(rows.where("k < 900"), store, ["k"], DAYS[1])
-    assert versions(spark, store)[-1] == Version(2, 5)
-    files = glob.glob(f"{store.version_path(2, 5)}/*.parquet")
+    assert versions(spark, store)[-1] == Version(2, store.buckets.layout)
+    files = glob.glob(f"{store.version_path(2, store.buckets.layout)}/*.parquet")
     assert len(files) == 5
     with _aligned(spark, store):
         out = synced_rows(rows.where("k >= 100"), read_snapshot(spark, store), ["k"], DAYS[2])
@@ -75,11 +75,21 @@ def test_bucketed_compare_shuffles_the_current_side_only(spark, tmp_path):
         assert operations(out) == {"NO_CHANGE": 800, "INSERT": 100, "DELETE": 100}
 
 
+def test_other_bucket_keys_do_not_count_as_buckets(spark, tmp_path):
+    old = SnapshotStore(f"{tmp_path}/it's", Buckets(("k",), 3))
+    rows = spark.range(100).selectExpr("id AS k", "id % 7 AS j")
+    for day in DAYS[:2]:
+        sync_table(rows, old, ["k"], day)
+    assert read_snapshot(spark, old).groupBy("k").count().where("count > 1").isEmpty()
+    new = SnapshotStore(old.base, Buckets(("j", "k"), 3))
+    assert operations(synced_rows(rows, read_snapshot(spark, new), ["j", "k"], DAYS[2])) == {"NO_CHANGE": 100}
+
+
 def test_unfinished_version_is_ignored(spark, tmp_path):
     store = SnapshotStore(str(tmp_path))
     sync_table(table(spark, [(1, "a")]), store, ["k"], DAYS[0])
     os.makedirs(f"{tmp_path}/v00000002")
-    assert versions(spark, store) == [Version(1, 0)]
+    assert versions(spark, store) == [Version(1, "")]
     assert read_snapshot(spark, SnapshotStore(str(tmp_path / "none"))) is None
 
 
@@ -255,5 +265,5 @@ def test_replaced_version_in_the_other_layout(spark, tmp_path):
     rows = projection.snapshot(table(spark, [(1, "a"), (2, "b")]), now=DAYS[0])
     publish_snapshot(rows, plain, 1)
     publish_snapshot(rows, bucketed, 1, unique=True)
-    assert versions(spark, bucketed) == [Version(1, 2)] and read_snapshot(spark, bucketed).count() == 2
+    assert versions(spark, bucketed) == [Version(1, bucketed.buckets.layout)] and read_snapshot(spark, bucketed).count() == 2
     assert cdc.live_rows(read_snapshot(spark, plain)).count() == 2

@@ -7,6 +7,7 @@ from functools import reduce
 from operator import and_
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def cdc_compare(
 
     Rows with a NULL in the key are left out and repeated keys keep one row. Values come from ``current``, for
     DELETE from ``previous``. Columns that only ``previous`` has are dropped; columns that only ``current`` has
-    are NULL on DELETE. ``order_by`` chooses the row a repeated key of ``current`` keeps.
+    are NULL on DELETE. ``order_by`` chooses the row a repeated key keeps.
 
     One full outer join of two sides that are unique by key, hence free of skew. The rank per key and the join share
     one shuffle per side; a bucketed ``previous`` (see ``plans.store``) needs none.
@@ -66,7 +67,11 @@ def cdc_compare(
     has_time = LAST_UPDATED in old_types
     if has_time:
         kept.append(LAST_UPDATED)
-    old = dedup_by_key(keys_not_null(previous.select(*[col(c) for c in kept]), keys), keys)
+    old = keys_not_null(previous.select(*[col(c) for c in kept]), keys)
+    try:
+        old = dedup_by_key(old, keys, order_by)
+    except AnalysisException:  # it may lack the column that orders the current rows
+        old = dedup_by_key(old, keys)
 
     def aligned(name: str) -> Column:
         value = col(name)

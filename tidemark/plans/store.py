@@ -1,6 +1,7 @@
 """Versions of a snapshot on storage, and its history.
 
-Layout: ``<base>/v00000001`` (``-b<n>`` appended when bucketed) and ``<base>/history/sync=00000001``. A version counts
+Layout: ``<base>/v00000001`` (``-b<count>-<digest of the keys>`` appended when bucketed) and
+``<base>/history/sync=00000001``. A version counts
 once its ``_SUCCESS`` marker is there, which Spark writes last, so a job that dies half-way leaves the earlier version
 in place. The latest two are kept.
 """
@@ -12,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from hashlib import md5
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,10 @@ class Buckets:
     keys: tuple[str, ...]
     count: int
 
+    @property
+    def layout(self) -> str:
+        return f"b{self.count}-{md5(','.join(self.keys).encode()).hexdigest()[:8]}"
+
 
 @dataclass(frozen=True)
 class SnapshotStore:
@@ -43,22 +49,22 @@ class SnapshotStore:
     def history_path(self) -> str:
         return f"{self.base.rstrip('/')}/history"
 
-    def version_path(self, version: int, buckets: int = 0) -> str:
-        return f"{self.base.rstrip('/')}/v{version:08d}" + (f"-b{buckets}" if buckets else "")
+    def version_path(self, version: int, layout: str = "") -> str:
+        return f"{self.base.rstrip('/')}/v{version:08d}" + (f"-{layout}" if layout else "")
 
 
 class Version(NamedTuple):
     number: int
-    buckets: int  # 0 when not bucketed
+    layout: str  # empty when not bucketed
 
 
 def versions(spark: SparkSession, store: SnapshotStore) -> list[Version]:
     """Complete versions, oldest first."""
     found = []
     for name in folders(spark, store.base):
-        match = re.fullmatch(r"v([0-9]+)(?:-b([0-9]+))?", name)
+        match = re.fullmatch(r"v([0-9]+)(?:-(b[0-9]+-[0-9a-f]+))?", name)
         if match and path_exists(spark, f"{store.base.rstrip('/')}/{name}/_SUCCESS"):
-            found.append(Version(int(match[1]), int(match[2] or 0)))
+            found.append(Version(int(match[1]), match[2] or ""))
     return sorted(found)
 
 
@@ -73,9 +79,9 @@ def publish_snapshot(df: DataFrame, store: SnapshotStore, version: int, unique:
     replaces it. ``unique`` says that no key repeats, which bucketing needs.
     """
     spark = df.sparkSession
-    written = Version(version, store.buckets.count if store.buckets and unique else 0)
+    written = Version(version, store.buckets.layout if store.buckets and unique else "")
     path = store.version_path(*written)
-    if written.buckets:
+    if written.layout:
         name = _table_name()
         with _aligned(spark, store):
             (
@@ -83,7 +89,7 @@ def publish_snapshot(df: DataFrame, store: SnapshotStore, version: int, unique:
                 .option("compression", SNAPSHOT_CODEC)
                 .option("maxRecordsPerFile", rows_per_file(len(df.columns)))
                 .option("path", path)
-                .bucketBy(written.buckets, *store.buckets.keys)
+                .bucketBy(store.buckets.count, *store.buckets.keys)
                 .sortBy(*store.buckets.keys)
                 .saveAsTable(name)
             )
@@ -106,13 +112,13 @@ def read_snapshot(spark: SparkSession, store: SnapshotStore, before: int | None
 def read_version(spark: SparkSession, store: SnapshotStore, version: Version) -> DataFrame:
     path = store.version_path(*version)
     rows = spark.read.parquet(path)
-    if not version.buckets or not store.buckets:
-        return rows
+    if store.buckets is None or version.layout != store.buckets.layout:
+        return rows  # files of any layout are read whole, only without the promise of buckets
     keys = ", ".join(quote(k) for k in store.buckets.keys)
-    name = _table_name()
+    name, location = _table_name(), path.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({rows.schema.toDDL()}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
-        f"INTO {version.buckets} BUCKETS LOCATION '{path}'"
+        f"INTO {store.buckets.count} BUCKETS LOCATION '{location}'"
     )
     bucketed = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
