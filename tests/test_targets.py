@@ -103,7 +103,7 @@ def test_export_to_a_database(spark, target, source, tmp_path, monkeypatch, keys
         outbound.export_to_jdbc(snapshot, {}, plan, NOW, "j", target, schema, path)
     rows = sent.get("appended") or sent.get("replaced")
     assert set(sent) == ({"replaced"} if keys else {"appended"})
-    assert len(rows) == (4 if keys else 4) and (0, "n") in {(r["k"], r["v"]) for r in rows}
+    assert len(rows) == 4 and (0, "n") in {(r["k"], r["v"]) for r in rows}
     assert outbound.read_changelog(spark, path).count() == 2 * (3 if keys else 4)
 
 
@@ -124,7 +124,6 @@ def test_changelog_columns(source):
 
 def test_changelog_takes_later_columns(source):
     old = changelog.build_changelog(source.drop("x"), NOW, "a", "INSERT")
-    assert merge.append is not None
     merged = changelog.merge_changelog(old, changelog.build_changelog(source, NOW, "b", "INSERT"))
     assert merged.count() == 8 and "x" in merged.columns
 

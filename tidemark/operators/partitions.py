@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import col, quote
+from ..functions import col
 from .cdc import live_rows
 
 _NUMERIC = re.compile(r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*")
@@ -64,9 +64,8 @@ def build_all_partitions(df: DataFrame, column: str, path: str, codec: str = "sn
     The rebalance gathers each value in few files and splits a value that is too large for one task.
     """
     rows = live_rows(df) if live_only else df
-    rows.hint("rebalance", col(column)).write.mode("overwrite").option("compression", codec).partitionBy(column).parquet(
-        path
-    )
+    writer = rows.hint("rebalance", col(column)).write.mode("overwrite").option("compression", codec)
+    writer.partitionBy(column).parquet(path)
 
 
 def partition_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -76,5 +75,5 @@ def partition_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     per_table = reduce(DataFrame.unionAll, counts)
-    total = per_table.agg(F.sum("row_count").alias("row_count")).select(F.lit("total_rows").alias("table_name"), "row_count")
-    return per_table.unionAll(total)
+    total = per_table.agg(F.sum("row_count").alias("row_count"))
+    return per_table.unionAll(total.select(F.lit("total_rows").alias("table_name"), "row_count"))
