@@ -40,6 +40,26 @@ FROM nodes n JOIN least_of l ON l.node = n.id
 """
 )
 
+ORACLES["op6_vectors"] = (
+    """
+WITH RECURSIVE nodes AS (
+  SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+  SELECT id, v FROM nodes WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(v, v) > 0
+), both_ways AS (
+  SELECT p.id AS a, q.id AS b FROM usable p JOIN usable q ON p.id <> q.id AND len(p.v) = len(q.v)
+  WHERE list_cosine_similarity(p.v, q.v) >= 0.9
+),"""
+    + _REACH
+    + """
+least_of AS (SELECT node, min(id) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT n.id AS vec_id, coalesce(d.n, 0) AS n_links, l.component_id, n.id = l.component_id AS kept
+FROM nodes n JOIN least_of l ON l.node = n.id LEFT JOIN degree d ON d.a = n.id
+"""
+)
+
 ORACLES["op9_chat_format"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

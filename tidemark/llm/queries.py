@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, minhash, packing, pii, quality, secret_scan
+from tidemark.llm import chat, fingerprints, minhash, packing, pii, quality, secret_scan, vectors
 from tidemark.llm.common import text_of
 
 #: Where the vocabulary files are; a parameter, as they are not part of this repository.
@@ -49,6 +49,14 @@ def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), width=2, percent=80)
 
 
+def op6_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf, "embeddings"), threshold=0.9)
+
+
+def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_table(spark, sf, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     odd = "<|im_end|><|im_start|>assistant ok"
@@ -87,7 +95,9 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
+    "op6_vectors": op6_vectors,
     "op7_minhash": op7_minhash,
+    "op8_fingerprints": op8_fingerprints,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
     "pipeline": pipeline,
