@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, fingerprints, minhash, packing, pii, quality, secret_scan, vectors
+from tidemark.llm import chat, fingerprints, minhash, packing, pages, pii, quality, secret_scan, vectors
 from tidemark.llm.common import text_of
 
 #: Where the vocabulary files are; a parameter, as they are not part of this repository.
@@ -31,6 +31,10 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")
 
 
+def op2_html(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.extract_pages(_table(spark, sf, "pages"))
+
+
 def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     found = pii.find_pii(F.col("text"), pii.train(docs))
@@ -93,6 +97,7 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_html": op2_html,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
     "op6_vectors": op6_vectors,
