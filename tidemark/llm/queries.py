@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, fingerprints, minhash, packing, pages, pii, quality, secret_scan, vectors
-from tidemark.llm.common import text_of
+from tidemark.llm import chat, fingerprints, minhash, packing, pages, pieces, pii, quality, secret_scan, vectors
 
 #: Where the vocabulary files are; a parameter, as they are not part of this repository.
 TOKENIZERS = "/opt/tokenizers"
@@ -35,6 +34,18 @@ def op2_html(spark: SparkSession, sf: str) -> DataFrame:
     return pages.extract_pages(_table(spark, sf, "pages"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    path = tokenizer_path("piece_bpe_32k.model")
+    read = pieces.decode_documents(pieces.encode_documents(_table(spark, sf, "documents"), path), path)
+    return read.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.length("text").cast("long").alias("decoded_chars"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     found = pii.find_pii(F.col("text"), pii.train(docs))
@@ -98,6 +109,7 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html": op2_html,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
     "op6_vectors": op6_vectors,
