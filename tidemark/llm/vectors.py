@@ -52,7 +52,8 @@ class Tables:
         self.positions = np.stack([rng.choice(self.width, bits, replace=False) for _ in range(count)])
         spread = math.sqrt(self.width * agree * (1 - agree))
         self.most_different = int(self.width * (1 - agree) + DEVIATIONS * spread)
-        self.weights = mix64(np.arange(1, bits + 1, dtype=np.uint64))
+        numbers = mix64(np.arange(1, bits + count + 1, dtype=np.uint64))
+        self.weights, self.starts = numbers[:bits], numbers[bits:]
 
     def signs(self, unit: np.ndarray) -> np.ndarray:
         """Bits of all rotations, one row per vector."""
@@ -62,8 +63,8 @@ class Tables:
         """One bucket key per vector and table."""
         dimension = np.uint64(self.rotations.shape[1])
         out = [
-            mix64((signs[:, p] * self.weights).sum(axis=1, dtype=np.uint64) + mix64(np.array([t + 1], np.uint64)) + dimension)
-            for t, p in enumerate(self.positions)
+            mix64((signs[:, p] * self.weights).sum(axis=1, dtype=np.uint64) + start + dimension)
+            for start, p in zip(self.starts, self.positions, strict=True)
         ]
         return np.stack(out, axis=1).view(np.int64)
 
@@ -263,7 +264,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     left = pairs.join(held.select(F.col("id").alias("a"), F.col("vector").alias("left")), "a")
     likely = left.mapInPandas(_estimated(threshold), "a long, b long, left array<double>")
     both = likely.join(held.select(F.col("id").alias("b"), F.col("vector").alias("right")), "b")
-    links = cut_lineage(both.mapInPandas(_exact(threshold), "a long, b long"))
+    links = cut_lineage(both.mapInPandas(_exact(threshold), "a long, b long").distinct())
 
     found = components(links)
     ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
