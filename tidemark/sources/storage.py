@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import SparkSession
 
 
@@ -35,3 +37,38 @@ def folders(spark: SparkSession, path: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)
+
+
+class Entry(NamedTuple):
+    path: str
+    name: str
+    is_folder: bool
+    modified_ms: int
+    size: int
+
+
+def entries(spark: SparkSession, path: str) -> list[Entry]:
+    """What lies directly in ``path``."""
+    fs, p = _open(spark, path)
+    out = []
+    for s in fs.listStatus(p):
+        where = s.getPath()
+        out.append(Entry(where.toString(), where.getName(), s.isDirectory(), s.getModificationTime(), s.getLen()))
+    return out
+
+
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a job has written the folder to its end."""
+    return path_exists(spark, f"{folder.rstrip('/')}/_SUCCESS")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, p = _open(spark, path)
+    fs.create(p, True).close()
+
+
+def stored_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``, from the file system alone."""
+    fs, p = _open(spark, path)
+    return fs.getContentSummary(p).getLength()
