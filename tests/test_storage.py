@@ -138,15 +138,6 @@ def test_stream_of_files(spark, tmp_path):
     assert [v.number for v in versions(spark, store)] == [2, 3]
 
 
-def test_stream_job_file_with_two_jobs_fails(spark, tmp_path):
-    inbox = tmp_path / "jobs"
-    inbox.mkdir()
-    (inbox / "1.json").write_text('{"path": "/a"}\n{"path": "/b"}\n')
-    query = stream_jobs(spark, str(inbox), ["k"], SnapshotStore(str(tmp_path / "s")), str(tmp_path / "cp"))
-    with pytest.raises(Exception, match="one job"):
-        query.awaitTermination()
-
-
 # --- files -----------------------------------------------------------------------------------------------------------
 
 

@@ -68,16 +68,20 @@ def cdc_compare(
     if has_time:
         kept.append(LAST_UPDATED)
     old = keys_not_null(previous.select(*[col(c) for c in kept]), keys)
-    try:
-        old = dedup_by_key(old, keys, order_by)
-    except AnalysisException:  # it may lack the column that orders the current rows
-        old = dedup_by_key(old, keys)
+    named = [order_by] if isinstance(order_by, (str, Column)) else list(order_by or [])
+    # The previous version may lack a column that orders the current rows.
+    old = dedup_by_key(old, keys, named if all(_resolves(old, o) for o in named) else None)
 
     def aligned(name: str) -> Column:
         value = col(name)
-        if name in types and old_types[name] != types[name]:
-            value = value.try_cast(types[name])
-        return value
+        if name not in types or old_types[name] == types[name]:
+            return value
+        new = value.try_cast(types[name])
+        if name not in keys:
+            return new
+        # A key must not turn into NULL, or nobody could say what was deleted.
+        told = f"key {name}: previous value is {old_types[name].simpleString()} and does not fit {types[name].simpleString()}: "
+        return F.when(value.isNotNull() & new.isNull(), F.raise_error(F.concat(F.lit(told), value.cast("string")))).otherwise(new)
 
     old = old.select(*[aligned(c).alias(_old(c)) for c in kept])
     joined = cur.join(old, reduce(and_, [col(k) == col(_old(k)) for k in keys]), "full_outer")
@@ -144,5 +148,16 @@ def first_refresh(current: DataFrame, now: Any) -> DataFrame:
     return tag(ensure_row_hash(current), "INSERT", now)
 
 
+def _resolves(df: DataFrame, order: str | Column) -> bool:
+    """Whether all columns that the order names are there."""
+    try:
+        df.orderBy(col(order) if isinstance(order, str) else order)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        return False
+    return True
+
+
 def _old(name: str) -> str:
     return f"__old {name}"

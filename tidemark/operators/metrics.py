@@ -48,10 +48,15 @@ def table_checksum(df: DataFrame) -> DataFrame:
     all fingerprints in one place, and repeated rows count. Without a fingerprint column it is taken over all columns.
     """
     ref = col(HASH_COLUMN) if HASH_COLUMN in df.columns else row_hash(df, df.columns)
-    number = [F.conv(F.substring("ref", start, 15), 16, 10).cast("bigint").cast("decimal(28,0)") for start in (1, 16)]
-    sums = df.select(ref.alias("ref")).agg(
-        F.count("*").alias("row_count"), F.sum(number[0]).alias("high"), F.sum(number[1]).alias("low")
-    )
+    # Each number in three parts of five digits: their sums stay in 64 bits for 2^43 rows, and are put together once.
+    parts = {f"p{at}": F.conv(F.substring("ref", at, 5), 16, 10).cast("bigint") for at in range(1, 31, 5)}
+    sums = df.select(ref.alias("ref")).agg(F.count("*").alias("row_count"), *[F.sum(v).alias(k) for k, v in parts.items()])
+
+    def number(at: int):
+        high, middle, low = (F.col(f"p{at + 5 * k}").cast("decimal(28,0)") for k in range(3))
+        return high * F.lit(1 << 40) + middle * F.lit(1 << 20) + low
+
+    sums = sums.select("row_count", number(1).cast("decimal(38,0)").alias("high"), number(16).cast("decimal(38,0)").alias("low"))
     joined = F.concat_ws("|", *[F.col(c).cast("string") for c in ("row_count", "high", "low")])
     return sums.select(
         F.when(F.col("row_count") == 0, EMPTY_CHECKSUM).otherwise(F.md5(joined)).alias("checksum"), "row_count"

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,23 @@ def register_models(spark: SparkSession, models: Mapping[str, DataFrame]) -> dic
     return tables
 
 
+@contextmanager
+def _registered(spark: SparkSession, models: Mapping[str, DataFrame]) -> Iterator[None]:
+    """Views of the models while a statement is bound, so that a later one cannot find them by chance. Views of the same
+    name that were there before come back."""
+    names = {sanitize_name(name) for name in models}
+    hidden = {n: spark.table(n) for n in names if any(t.name == n and t.isTemporary for t in spark.catalog.listTables(pattern=n))}
+    try:
+        register_models(spark, models)
+        yield
+    finally:
+        for name in names:
+            if name in hidden:
+                hidden[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
 def resolve_model(name: str, models: Iterable[str]) -> str:
     """The table a join means by ``name``: the model of that name, else the one model whose name contains it or
     is contained in it, else ``name`` itself. More than one such model is an error."""
@@ -94,12 +112,9 @@ def build_model(
         raise ValueError("a derived model needs a query definition")
     if not models:
         raise ValueError("a derived model needs a source model")
-    register_models(spark, models)
     sql = build_sql(definition, list(models))
-    if double_quoted_identifiers:
-        with overridden(spark, spark__sql__ansi__doubleQuotedIdentifiers="true"):
-            rows = spark.sql(sql)
-    else:
+    quoting = {"spark__sql__ansi__doubleQuotedIdentifiers": "true"} if double_quoted_identifiers else {}
+    with _registered(spark, models), overridden(spark, **quoting):
         rows = spark.sql(sql)
     numbered = rows.toDF(*unique_names(rows.columns))
     return numbered.select(*[quote(c) for c in data_columns(numbered.columns)])

@@ -2,26 +2,29 @@
 
 Layout: ``<base>/v00000001`` (``-b<count>-<digest of the keys>`` appended when bucketed) and
 ``<base>/history/sync=00000001``. A version counts
-once its ``_SUCCESS`` marker is there, which Spark writes last, so a job that dies half-way leaves the earlier version
-in place. The latest two are kept.
+once its ``_SUCCESS`` marker is there, which is created last of all, after the sync's history: a job that dies half-way
+leaves the earlier version in place, and history beyond the latest complete version does not count. The latest two are kept.
+A version that a stream made carries an empty ``_batch-<stream>-<number>`` file, by which a batch that runs again finds it.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 from hashlib import md5
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from ..functions import quote
+from ..functions import TIMESTAMP, col, quote
 from ..session import overridden
-from ..sinks.files import SNAPSHOT_CODEC, rows_per_file, write_parquet
-from ..sources.storage import folders, path_exists, remove_folder
+from ..sinks.files import MARKS_SUCCESS, SNAPSHOT_CODEC, rows_per_file, write_parquet
+from ..sources.storage import folders, path_exists, remove_folder, touch
 
 
 @dataclass(frozen=True)
@@ -72,11 +75,19 @@ def next_version(spark: SparkSession, store: SnapshotStore) -> int:
     return max((v.number for v in versions(spark, store)), default=0) + 1
 
 
-def publish_snapshot(df: DataFrame, store: SnapshotStore, version: int, unique: bool = False, keep: int = 2) -> None:
+def publish_snapshot(
+    df: DataFrame,
+    store: SnapshotStore,
+    version: int,
+    unique: bool = False,
+    keep: int = 2,
+    before_commit: Callable[[Version], None] | None = None,
+) -> Version:
     """Write ``df`` as ``version``; afterwards only the latest ``keep`` versions remain.
 
     ``df`` may be computed from earlier versions: it never writes where it reads. Writing the same version again
-    replaces it. ``unique`` says that no key repeats, which bucketing needs.
+    replaces it. ``unique`` says that no key repeats, which bucketing needs. ``before_commit`` runs when all rows are
+    written and before the version counts.
     """
     spark = df.sparkSession
     written = Version(version, store.buckets.layout if store.buckets and unique else "")
@@ -87,6 +98,7 @@ def publish_snapshot(df: DataFrame, store: SnapshotStore, version: int, unique:
             (
                 df.write.mode("overwrite")
                 .option("compression", SNAPSHOT_CODEC)
+                .option(MARKS_SUCCESS, "false")
                 .option("maxRecordsPerFile", rows_per_file(len(df.columns)))
                 .option("path", path)
                 .bucketBy(store.buckets.count, *store.buckets.keys)
@@ -95,12 +107,33 @@ def publish_snapshot(df: DataFrame, store: SnapshotStore, version: int, unique:
             )
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
     else:
-        write_parquet(df, path, mode="overwrite")
+        write_parquet(df, path, mode="overwrite", marked=False)
+    if before_commit is not None:
+        before_commit(written)
+    touch(spark, f"{path}/_SUCCESS")
     known = versions(spark, store)
     numbers = sorted({v.number for v in known if v.number <= version})[-keep:]
     for old in known:
         if old.number < numbers[0] or (old.number == version and old != written):
             remove_folder(spark, store.version_path(*old))
+    return written
+
+
+def mark_batch(spark: SparkSession, store: SnapshotStore, version: Version, batch: str) -> None:
+    """Note which batch of which stream made a version."""
+    touch(spark, f"{store.version_path(*version)}/_batch-{batch}")
+
+
+def version_of_batch(spark: SparkSession, store: SnapshotStore, batch: str) -> int | None:
+    """The complete version that a batch made, if it is still kept."""
+    marked = [v.number for v in versions(spark, store) if path_exists(spark, f"{store.version_path(*v)}/_batch-{batch}")]
+    return max(marked, default=None)
+
+
+def version_time(spark: SparkSession, store: SnapshotStore, version: Version) -> Any:
+    """When a version was synced, by its rows; None if it has none."""
+    row = spark.read.parquet(store.version_path(*version)).select(quote(TIMESTAMP)).first()
+    return row[0] if row else None
 
 
 def read_snapshot(spark: SparkSession, store: SnapshotStore, before: int | None = None) -> DataFrame | None:
@@ -130,11 +163,45 @@ def write_history(changes: DataFrame, store: SnapshotStore, version: int) -> Non
     write_parquet(changes, f"{store.history_path}/sync={version:08d}", mode="overwrite")
 
 
+def remove_history(spark: SparkSession, store: SnapshotStore, version: int) -> None:
+    """Take back what an earlier try of the same sync recorded."""
+    remove_folder(spark, f"{store.history_path}/sync={version:08d}")
+
+
 def read_history(spark: SparkSession, store: SnapshotStore) -> DataFrame | None:
-    """All recorded changes; columns that came later are NULL in earlier rows."""
-    if not folders(spark, store.history_path):
+    """All recorded changes of complete syncs; columns that came later are NULL in earlier rows.
+
+    Each sync keeps the types it was written with. A column whose type changed comes in the widest of its types if all are
+    numbers, else as text, so that no value is lost.
+    """
+    latest = max((v.number for v in versions(spark, store)), default=0)
+    found = [n for n in folders(spark, store.history_path) if int(n.removeprefix("sync=")) <= latest]
+    if not found:
         return None
-    return spark.read.option("mergeSchema", True).parquet(store.history_path).drop("sync")
+    by_schema: dict[T.StructType, list[str]] = {}
+    for name in found:  # one footer per sync
+        path = f"{store.history_path}/{name}"
+        by_schema.setdefault(spark.read.parquet(path).schema, []).append(path)
+    types: dict[str, T.DataType] = {}
+    for schema in by_schema:
+        for field in schema.fields:
+            known = types.get(field.name, field.dataType)
+            types[field.name] = known if known == field.dataType else _common_type(known, field.dataType)
+    parts = [
+        spark.read.schema(schema).parquet(*paths).select(*[col(f.name).cast(types[f.name]).alias(f.name) for f in schema.fields])
+        for schema, paths in by_schema.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds every value of both: the wider of two whole numbers, else text."""
+    whole = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+    if a in whole and b in whole:
+        return max(a, b, key=whole.index)
+    if {a, b} == {T.FloatType(), T.DoubleType()}:
+        return T.DoubleType()
+    return T.StringType()
 
 
 @contextmanager

@@ -4,23 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import col
+from ..functions import as_timestamp, col
 from ..operators.cdc import cdc_compare, live_rows
 from ..operators.history import history_changes
 from ..operators.metrics import metric_columns
 from ..operators.projection import Spec, project, tag_snapshot, with_row_hash
-from .store import SnapshotStore, next_version, publish_snapshot, read_snapshot, write_history
+from ..sources.storage import stored_size
+from .store import (
+    SnapshotStore,
+    Version,
+    mark_batch,
+    publish_snapshot,
+    read_version,
+    remove_history,
+    version_of_batch,
+    version_time,
+    versions,
+    write_history,
+)
 
 
 @dataclass(frozen=True)
 class SyncResult:
+    """What a sync did. ``counts`` has the rows of the snapshot, in all and per operation, and ``null_key_rows`` and
+    ``repeated_key_rows`` of the source, which a keyed compare leaves out; ``bytes`` is what the version takes on storage."""
+
     version: int
     counts: dict[str, int]
+    bytes: int = 0
+    status: str = "completed"  # or "skipped"
 
 
 def synced_rows(
@@ -61,21 +80,65 @@ def sync_table(
     exact: bool = False,
     order_by=None,
     version: int | None = None,
+    batch: str | None = None,
+    stale: str = "error",
 ) -> SyncResult:
-    """Run one sync: publish the snapshot as the next version and add its changes to the history.
+    """Run one sync: write the snapshot as the next version and its changes to the history, then complete the version.
+
+    Snapshot, history and marker are one commit: until the version is complete, neither its rows nor its changes count, and
+    a sync that failed half-way is simply run again. The compare runs once: counts are observed during the write, and the
+    history is taken from the written version.
 
-    The compare runs once: counts are observed during the write, and the history is taken from the written version.
-    Giving ``version`` makes a repeat of the same sync harmless.
+    ``batch`` names the sync (a stream's batch, say): run again, it replaces its own version. ``version`` does the same by
+    number; one below the latest is an error. So is a ``now`` before the latest version's, unless it is that version's
+    own repeat; with ``stale="skip"`` nothing is written then and the status says so.
     """
+    if stale not in ("error", "skip"):
+        raise ValueError(f"stale is 'error' or 'skip': {stale!r}")
     spark = source.sparkSession
-    version = version or next_version(spark, store)
-    previous = read_snapshot(spark, store, before=version)
-    rows = synced_rows(source, previous, keys, now, mappings, schema, exact, order_by)
+    known = versions(spark, store)
+    latest = known[-1].number if known else 0
+    if version is None and batch is not None:
+        version = version_of_batch(spark, store, batch)
+    version = version or latest + 1
+    if version < latest:
+        raise ValueError(f"version {version} is below the latest, {latest}")
+    before = [v for v in known if v.number < version]
+    if before and _is_earlier(spark, now, version_time(spark, store, before[-1])):
+        if stale == "skip":
+            return SyncResult(latest, {}, status="skipped")
+        raise ValueError(f"the sync's time {now} is before that of version {before[-1].number}")
+    previous = read_version(spark, store, before[-1]) if before else None
     compared = bool(keys) and previous is not None
-    seen = Observation()
-    publish_snapshot(rows.observe(seen, *metric_columns()), store, version, unique=compared)
-    counts = dict(seen.get)
-    if keys and counts["rows"] > counts["no_change_rows"]:
-        written = read_snapshot(spark, store, before=version + 1)
-        write_history(history_changes(written, now, unique_rows=compared), store, version)
-    return SyncResult(version, counts)
+    projected, arrived = project(source, mappings, schema, exact), Observation()
+    if compared:
+        has_key = reduce(and_, [col(k).isNotNull() for k in keys])
+        projected = projected.observe(arrived, F.count("*").alias("all"), F.count_if(has_key).alias("keyed"))
+    rows, seen = synced_rows(projected, previous, keys, now, exact=True, order_by=order_by), Observation()
+
+    def record(written: Version) -> None:
+        changed = seen.get["rows"] > seen.get["no_change_rows"]
+        if keys and changed:
+            added = spark.read.parquet(store.version_path(*written))
+            write_history(history_changes(added, now, unique_rows=compared), store, version)
+        else:
+            remove_history(spark, store, version)
+        if batch is not None:
+            mark_batch(spark, store, written, batch)
+
+    observed = rows.observe(seen, *metric_columns())
+    written = publish_snapshot(observed, store, version, unique=compared, before_commit=record)
+    counts = dict(seen.get) | {"null_key_rows": 0, "repeated_key_rows": 0}
+    if compared:
+        met = arrived.get
+        counts["null_key_rows"] = met["all"] - met["keyed"]
+        counts["repeated_key_rows"] = met["keyed"] - (counts["rows"] - counts["delete_rows"])
+    return SyncResult(version, counts, stored_size(spark, store.version_path(*written)))
+
+
+def _is_earlier(spark: SparkSession, now: Any, then: Any) -> bool:
+    """Whether ``now`` is before ``then``, both as the engine stores times."""
+    if then is None:
+        return False
+    moment = spark.range(1).select((as_timestamp(now) < as_timestamp(then)).alias("earlier"))
+    return bool(moment.first()["earlier"])

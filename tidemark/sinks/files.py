@@ -19,6 +19,9 @@ SNAPSHOT_CODEC = "snappy"
 CHANGELOG_CODEC = "zstd"
 # End of fixed values.
 
+#: The writer's option that says whether a finished job leaves a ``_SUCCESS`` file.
+MARKS_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
 
 def rows_per_file(column_count: int, max_bytes: int = MAX_FILE_BYTES) -> int:
     """Rows a file may have so that its guessed size stays within ``max_bytes``."""
@@ -32,10 +35,15 @@ def write_parquet(
     mode: str = "error",
     max_bytes: int = MAX_FILE_BYTES,
     partition_by: list[str] | None = None,
+    marked: bool = True,
 ) -> None:
-    """Parquet folder; each task starts a new file where one would grow past ``max_bytes``."""
+    """Parquet folder; each task starts a new file where one would grow past ``max_bytes``.
+
+    Without ``marked`` the folder gets no ``_SUCCESS``; the caller creates it once all that belongs to it is done.
+    """
     limit = rows_per_file(len(df.columns), max_bytes)
     writer = df.write.mode(mode).option("compression", codec).option("maxRecordsPerFile", limit)
+    writer = writer.option(MARKS_SUCCESS, str(marked).lower())
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -11,16 +12,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.projection import Spec
 from ..plans.store import SnapshotStore
-from ..plans.sync import sync_table
+from ..plans.sync import SyncResult, sync_table
 from ..sources.files import file_format, read_source
 
 JOB_SCHEMA = "path string, format string, synced_at timestamp_ntz"
+MAX_JOBS = 1000
 
 
 def _utc_now(_batch_id: int) -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's own name, which its checkpoint keeps over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def stream_sync(
     spark: SparkSession,
     in_dir: str,
@@ -35,12 +42,14 @@ def stream_sync(
 ) -> StreamingQuery:
     """Sync each file that arrived in ``in_dir``: a file is one complete snapshot, a key missing from it is a DELETE.
 
-    The batch number is the version, so a batch that runs again after a failure replaces its own output. Ends when all
-    files present are done. For snapshots of more than one file use :func:`stream_jobs`.
+    A version carries the name of its batch, so a batch that runs again after a failure replaces its own output, and a stream
+    that lost its checkpoint adds versions to those there are. Ends when all files present are done. For snapshots of more
+    than one file use :func:`stream_jobs`.
     """
 
     def one_batch(rows: DataFrame, batch_id: int) -> None:
-        sync_table(rows, store, keys, clock(batch_id), mappings, stream_schema, version=batch_id + 1)
+        batch = f"{_stream_id(spark, checkpoint)}-{batch_id}"
+        sync_table(rows, store, keys, clock(batch_id), mappings, stream_schema, batch=batch)
 
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", 1)
     if fmt == "csv":
@@ -62,23 +71,31 @@ def stream_jobs(
     checkpoint: str,
     mappings: Sequence[Spec] | None = None,
     stream_schema: Sequence[Spec] | None = None,
+    on_result: Callable[[str, SyncResult], None] | None = None,
 ) -> StreamingQuery:
     """Sync what each arriving job file names: a line of JSON with ``path`` (file or folder), ``format``, ``synced_at``.
 
     Only the job line passes through the stream; the snapshot it names is scanned by all executors, whatever its size.
-    A job file holds one job.
+    A job file holds a few jobs, which run in the order of their times. A job older than the latest snapshot would bring old
+    values back; it is skipped, and told to ``on_result`` as such, like every other result.
     """
 
     def one_batch(jobs: DataFrame, batch_id: int) -> None:
-        found = jobs.take(2)
-        if not found:
-            return
-        if len(found) > 1:
-            raise ValueError("a job file holds one job")
-        job = found[0]
-        source = read_source(spark, job["path"], job["format"] or file_format(job["path"]))
-        now = job["synced_at"] or _utc_now(batch_id)
-        sync_table(source, store, keys, now, mappings, stream_schema, version=batch_id + 1)
+        found = jobs.where("path IS NOT NULL").take(MAX_JOBS + 1)
+        if len(found) > MAX_JOBS:
+            raise ValueError(f"a job file holds {MAX_JOBS} jobs at most")
+        stream = _stream_id(spark, checkpoint)
+        last = _utc_now(batch_id).replace(tzinfo=None)
+        for k, job in enumerate(sorted(found, key=lambda j: (j["synced_at"] or last, j["path"]))):
+            fmt = job["format"] or file_format(job["path"])
+            # With a declared schema the casts decide the types, and inferring them would read the data twice.
+            options = {"infer": False} if stream_schema and fmt == "csv" else {}
+            source = read_source(spark, job["path"], fmt, **options)
+            now = job["synced_at"] or last
+            batch = f"{stream}-{batch_id}-{k}"
+            result = sync_table(source, store, keys, now, mappings, stream_schema, batch=batch, stale="skip")
+            if on_result is not None:
+                on_result(job["path"], result)
 
     return (
         spark.readStream.schema(JOB_SCHEMA)
