@@ -76,10 +76,13 @@ ZERO = """z AS (
   FROM orders)"""
 
 
+ZERO_SPELLINGS = "('', 'NULL')"  # fixed values, with any text that starts with 0000-00-00 and the first day of the year 1
+
+
 def zero_rule(x: str) -> str:
-    return f"""CASE WHEN {x} IS NULL OR CAST({x} AS VARCHAR) IN ('0000-00-00', '0000-00-00 00:00:00', '', 'NULL') THEN NULL
-      WHEN CAST({x} AS VARCHAR) LIKE '0000-00-00%' THEN NULL
-      WHEN CAST({x} AS VARCHAR) LIKE '%-01-01 00:00:00' AND year(TRY_CAST({x} AS DATE)) <= 1 THEN NULL ELSE {x} END"""
+    text = f"CAST({x} AS VARCHAR)"
+    empty = f"({text} IN {ZERO_SPELLINGS} OR {text} LIKE '0000-00-00%' OR {text} SIMILAR TO '000[01]-01-01 00:00:00')"
+    return f"CASE WHEN NOT {empty} THEN {x} END"
 
 
 DATED = """d AS (
@@ -96,9 +99,7 @@ DATED = """d AS (
 
 
 def exported_date(x: str, kind: str, empty: str) -> str:
-    return f"""CASE WHEN {x} IS NULL THEN {empty} WHEN TRY_CAST({x} AS DATE) IS NULL THEN {empty}
-      WHEN year(TRY_CAST({x} AS DATE)) = 0 THEN {empty} WHEN TRY_CAST({x} AS DATE) < DATE '1900-01-01' THEN {empty}
-      ELSE CAST({x} AS {kind}) END AS {x}"""
+    return f"CASE WHEN TRY_CAST({x} AS DATE) >= DATE '1900-01-01' THEN CAST({x} AS {kind}) ELSE {empty} END AS {x}"
 
 
 SENTINEL_DATES = (
@@ -244,7 +245,7 @@ ORACLES: dict[str, str] = {
     "model_order_by": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey",
     "model_custom_sql": """SELECT c_custkey, c_name, count(o_orderkey) AS n_orders, max(o_totalprice) AS top_price
         FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name""",
-    "model_refresh_first": f"""WITH {BEFORE}, m AS ({order_model('old')})
+    "model_refresh_first": f"""WITH m AS ({order_model('orders')})
         SELECT *, {ref(ORDER_MODEL)} AS "$_ref", {tags('INSERT', PRIOR)} FROM m""",
     "model_refresh_next": f"""WITH {CURRENT}, {BEFORE}, m AS ({order_model('cur')}), p AS ({order_model('old')}),
         mr AS (SELECT *, {ref(ORDER_MODEL)} AS r FROM m), pr AS (SELECT *, {ref(ORDER_MODEL)} AS r FROM p)
@@ -289,6 +290,8 @@ ORACLES: dict[str, str] = {
     "stream_sync": f"{CDC} SELECT * FROM cdc",
     "missing_rows": f"WITH {CURRENT}, {BEFORE} SELECT * FROM cur WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)",
     "existing_rows": f"WITH {CURRENT}, {BEFORE} SELECT * FROM cur WHERE {KNOWN}",
+    "sync_type_drift": f"{CDC} SELECT * REPLACE (CAST(o_custkey AS VARCHAR) AS o_custkey) FROM cdc",
+    "sync_type_drift_history": f"{CDC} SELECT * REPLACE (CAST(o_custkey AS VARCHAR) AS o_custkey) FROM ({HISTORY})",
     "upsert_update": f"WITH {CURRENT}, {BEFORE} {MERGED}",
     "upsert_ignore": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "reconcile": f"WITH {CURRENT}, {BEFORE} {MERGED}",
@@ -306,6 +309,10 @@ ORACLES: dict[str, str] = {
     "outbound_reconcile_changelog": f"WITH {CURRENT}, {BEFORE} SELECT *, {LOG_NOW} FROM cur",
     "outbound_reload_changelog": f"""WITH {CURRENT}
         SELECT *, {log_columns("'TRUNCATE_RELOAD'", '2025-01-02T00:00:00.000Z', 'job-1')} FROM cur""",
+    "export_stored_upsert": f"WITH {CURRENT}, {BEFORE} SELECT {O} FROM ({MERGED})",
+    "export_stored_reconcile": f"WITH {CURRENT}, {BEFORE} SELECT {O} FROM ({MERGED})",
+    "export_stored_changelog": f"""WITH {CURRENT}, {BEFORE} SELECT *, {LOG_NOW} FROM cur
+        UNION ALL SELECT *, {log_columns("'INSERT'", '2025-01-01T00:00:00.000Z', 'job-0')} FROM old""",
     "outbound_csv": f"{CDC} SELECT * FROM cdc",
     "partition_filter": "SELECT * FROM orders WHERE o_orderpriority = '3-MEDIUM'",
     "partition_build": " UNION ALL ".join(
@@ -322,7 +329,11 @@ ORACLES: dict[str, str] = {
         for name, (t, key, _) in TABLES_OF_7.items()
     )
     + ") SELECT * FROM s UNION ALL SELECT 'total_rows', CAST(sum(row_count) AS BIGINT) FROM s",
-    "partition_build_all": "SELECT * FROM orders",
+    "partition_build_all": " UNION ALL ".join(
+        f"SELECT '{'clients' if name == 'customer' else name}' AS table_name, CAST({key} AS VARCHAR) AS nation,"
+        f" {ref(cols)} AS \"$_ref\" FROM {t}"
+        for name, (t, key, cols) in (TABLES_OF_7 | {"orders": ("orders", "o_orderpriority", ORDERS)}).items()
+    ),
     "direct_dependents": f"WITH {EDGES} SELECT id FROM edges WHERE source = 'n:7'",
     "cascade_dependents": f"""WITH RECURSIVE {EDGES}, walk AS (
           SELECT 'n:7' AS id, 0 AS level

@@ -421,7 +421,8 @@ def order_model_first(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def model_refresh_first(spark: SparkSession, sf: str) -> DataFrame:
-    return order_model_first(spark, sf)
+    models = {name: table(spark, sf, name) for name in ("orders", "customer")}
+    return refresh.refresh_model(spark, ORDER_MODEL, models, now=PRIOR)
 
 
 @query
@@ -557,6 +558,26 @@ def sync_stored_history(spark: SparkSession, sf: str) -> DataFrame:
     return read_history(spark, synced_twice(spark, sf))
 
 
+def drifted(spark: SparkSession, sf: str) -> SnapshotStore:
+    """Two syncs of ``orders``; the second has the customer as text and the price as a wider number."""
+    store = SnapshotStore(scratch_path(spark, "drift"))
+    before = prior_orders(spark, sf).withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    after = current_orders(spark, sf).withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    sync_table(before, store, ORDER_KEY, PRIOR)
+    sync_table(after, store, ORDER_KEY, NOW)
+    return store
+
+
+@query
+def sync_type_drift(spark: SparkSession, sf: str) -> DataFrame:
+    return read_snapshot(spark, drifted(spark, sf))
+
+
+@query
+def sync_type_drift_history(spark: SparkSession, sf: str) -> DataFrame:
+    return read_history(spark, drifted(spark, sf))
+
+
 @query
 def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream")
@@ -662,6 +683,32 @@ def outbound_reload_changelog(spark: SparkSession, sf: str) -> DataFrame:
     return exported(spark, sf, {"primaryKey": ["o_orderkey"], "truncateFirst": True}, "mysql").changelog
 
 
+def stored_export(spark: SparkSession, sf: str, kind: str) -> tuple[SnapshotStore, str]:
+    """A stored table that was loaded from the prior orders and then written to by plan from the compared ones."""
+    base = scratch_path(spark, "export")
+    store, log = SnapshotStore(f"{base}/table"), f"{base}/log"
+    load = outbound.WritePlan("append")
+    outbound.export_to_store(prior_snapshot(spark, sf), store, load, PRIOR, "job-0", changelog_path=log)
+    plan = outbound.write_plan({"primaryKey": ["o_orderkey"]}, kind)
+    outbound.export_to_store(compared(spark, sf), store, plan, NOW, JOB, changelog_path=log, live_only=True)
+    return store, log
+
+
+@query
+def export_stored_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return read_snapshot(spark, stored_export(spark, sf, "postgres")[0])
+
+
+@query
+def export_stored_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    return read_snapshot(spark, stored_export(spark, sf, "mysql")[0])
+
+
+@query
+def export_stored_changelog(spark: SparkSession, sf: str) -> DataFrame:
+    return outbound.read_changelog(spark, stored_export(spark, sf, "mysql")[1])
+
+
 @query
 def outbound_csv(spark: SparkSession, sf: str) -> DataFrame:
     config = {"remotePath": scratch_path(spark, "out"), "fileName": "{model_name}_{date}.csv", "archiveAfterUpload": True}
@@ -699,7 +746,7 @@ def partition_extract(spark: SparkSession, sf: str) -> DataFrame:
     built = partitions.build_partition(nation_models(spark, sf), "nation", "7")
     extracts.write_partition(built, base, "by-nation", "7")
     names = [n for n in built]
-    back = [read_source(spark, f"{extracts.extract_path(base, 'by-nation', '7')}/{n}", "parquet") for n in names]
+    back = [read_source(spark, extracts.extract_path(base, "by-nation", "7", n), "parquet") for n in names]
     parts = [projection.with_row_hash(df).select(F.lit(n).alias("table_name"), col(HASH_COLUMN)) for n, df in zip(names, back)]
     return reduce(DataFrame.unionAll, parts)
 
@@ -711,9 +758,14 @@ def partition_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def partition_build_all(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "partitions")
-    partitions.build_all_partitions(table(spark, sf, "orders"), "o_orderpriority", path)
-    return spark.read.parquet(path)
+    base = scratch_path(spark, "partitions")
+    models = nation_models(spark, sf) | {"orders": table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "nation")}
+    extracts.build_all_partitions(models, "nation", base, "by-nation", {"customer": "clients"})
+    parts = []
+    for name in ("clients", "supplier", "nation", "orders"):
+        rows = projection.with_row_hash(extracts.read_extracts(spark, base, "by-nation", name))
+        parts.append(rows.select(F.lit(name).alias("table_name"), F.col("nation").cast("string"), col(HASH_COLUMN)))
+    return reduce(DataFrame.unionAll, parts)
 
 
 # --- lineage ---------------------------------------------------------------------------------------------------------

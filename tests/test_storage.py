@@ -111,11 +111,12 @@ def test_schema_change_in_history(spark, tmp_path):
 def test_stored_refresh(spark, tmp_path):
     store = SnapshotStore(str(tmp_path))
     definition = {"type": "aggregation", "select": ["v", "count(*) AS n"], "groupBy": ["v"]}
-    assert refresh_table(spark, definition, {"t": table(spark, [(1, "a"), (2, "a"), (3, "b")])}, store, DAYS[0]) == 1
-    assert refresh_table(spark, definition, {"t": table(spark, [(1, "a"), (3, "b")])}, store, DAYS[1]) == 2
+    assert refresh_table(spark, definition, {"t": table(spark, [(1, "a"), (2, "a"), (3, "b")])}, store, DAYS[0]).version == 1
+    assert refresh_table(spark, definition, {"t": table(spark, [(1, "a"), (3, "b")])}, store, DAYS[1]).version == 2
     got = {(r["v"], r["n"], r["$_operation"], str(r["$_last_updated"])) for r in read_snapshot(spark, store).collect()}
     assert got == {("a", 1, "INSERT", DAYS[1]), ("a", 2, "DELETE", DAYS[1]), ("b", 1, "INSERT", DAYS[0])}
-    refresh_table(spark, definition, {"t": table(spark, [(1, "a"), (3, "b")])}, store, DAYS[2])
+    result = refresh_table(spark, definition, {"t": table(spark, [(1, "a"), (3, "b")])}, store, DAYS[2])
+    assert result.counts["rows"] == result.counts["insert_rows"] == 2 and result.bytes > 0
     assert operations(read_snapshot(spark, store)) == {"INSERT": 2}
 
 
@@ -229,7 +230,7 @@ def test_partition_extract(spark, tmp_path):
     for _ in range(2):
         counts = write_partition(tables, str(tmp_path), "rule", "x/y")
     assert counts == {"a b": 3, "c": 0, "total_rows": 3}
-    assert spark.read.parquet(f"{extract_path(str(tmp_path), 'rule', 'x/y')}/a%20b").count() == 3
+    assert spark.read.parquet(f"{extract_path(str(tmp_path), 'rule', 'x/y', 'a b')}").count() == 3
 
 
 def test_file_size_bound(spark, tmp_path):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, staging
 
 
 def dependents(models: DataFrame, model_id: str) -> DataFrame:
@@ -22,36 +22,57 @@ def dependency_edges(models: DataFrame) -> DataFrame:
 def refresh_order(models: DataFrame, model_id: str) -> DataFrame:
     """Every model reached from ``model_id`` with the round (``level``) in which to refresh it.
 
-    A model comes after all of its sources that are refreshed as well. Models on a cycle make this an error. Two
-    loops over the depth of the graph: the first collects what is reached, the second takes, round by round, the
-    models whose sources are all done. Each round is written to the shared folder.
+    A model comes after all of its sources that are refreshed as well. Models on a cycle make this an error. Two loops over
+    the depth of the graph: the first collects what is reached; the second keeps one frame with the number of sources that
+    each model still waits for, and each round joins only the newly finished models to the edges. A round is one write into
+    a folder that is removed at the end.
     """
-    edges = cut_lineage(dependency_edges(models))
-    frontier = models.sparkSession.range(1).select(F.lit(model_id).alias("id"))
-    reached = frontier.limit(0)
-    while True:
-        step = edges.join(_as_source(frontier), "source").select("id").distinct()
-        frontier = cut_lineage(step.join(reached, "id", "left_anti"))
-        if frontier.isEmpty():
-            break
-        reached = reached.unionByName(frontier)
-    # The root itself never waits for a refresh, unless a cycle leads back to it.
-    if not reached.where(F.col("id") == model_id).isEmpty():
-        raise ValueError(f"models depend on each other in a cycle through {model_id!r}")
-
-    inner = cut_lineage(edges.join(_as_source(reached), "source", "left_semi"))
-    done = reached.limit(0).select("id", F.lit(0).alias("level"))
-    level = 0
-    while True:
-        level += 1
-        waiting = inner.join(_as_source(done), "source", "left_anti").select("id").distinct()
-        ready = cut_lineage(reached.join(waiting, "id", "left_anti").join(done, "id", "left_anti"))
-        if ready.isEmpty():
-            break
-        done = done.unionByName(ready.select("id", F.lit(level).alias("level")))
-    if not reached.join(done, "id", "left_anti").isEmpty():
-        raise ValueError(f"models depend on each other in a cycle below {model_id!r}")
-    return done
+    spark = models.sparkSession
+    with staging(spark) as stage:
+        edges = stage(dependency_edges(models))
+        frontier = spark.range(1).select(F.lit(model_id).alias("id"))
+        rounds: list[DataFrame] = []
+        while True:
+            step = edges.join(_as_source(frontier), "source").select("id").distinct()
+            for earlier in _joined(rounds):
+                step = step.join(earlier, "id", "left_anti")
+            frontier = stage(step)
+            if frontier.isEmpty():
+                break
+            rounds.append(frontier)
+        if not rounds:
+            return models.limit(0).select("id", F.lit(0).alias("level"))
+        reached = stage(_joined(rounds)[0])
+        # The root itself never waits for a refresh, unless a cycle leads back to it.
+        if not reached.where(F.col("id") == model_id).isEmpty():
+            raise ValueError(f"models depend on each other in a cycle through {model_id!r}")
+
+        inner = stage(edges.join(_as_source(reached), "source", "left_semi"))
+        waits = inner.groupBy("id").agg(F.count("*").alias("open"))
+        opened = F.coalesce("open", F.lit(0))
+        level = F.when(opened == 0, 1)
+        state = stage(reached.join(waits, "id", "left").select("id", opened.alias("open"), level.alias("level")))
+        number = 1
+        while True:
+            ready = state.where(F.col("level") == number)
+            if ready.isEmpty():
+                break
+            number += 1
+            less = inner.join(_as_source(ready), "source").groupBy("id").agg(F.count("*").alias("less"))
+            still = F.col("open") - F.coalesce("less", F.lit(0))
+            level = F.coalesce("level", F.when(still == 0, number)).alias("level")
+            state = stage(state.join(less, "id", "left").select("id", still.alias("open"), level))
+        if not state.where("level IS NULL").isEmpty():
+            raise ValueError(f"models depend on each other in a cycle below {model_id!r}")
+        return cut_lineage(state.select("id", "level"))
+
+
+def _joined(frames: list[DataFrame]) -> list[DataFrame]:
+    """All staged rounds as one scan, or nothing."""
+    if not frames:
+        return []
+    spark = frames[0].sparkSession
+    return [spark.read.schema(frames[0].schema).parquet(*[f for frame in frames for f in frame.inputFiles()])]
 
 
 def _as_source(ids: DataFrame) -> DataFrame:

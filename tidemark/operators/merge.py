@@ -5,7 +5,7 @@ NULL in a key never matches, as in SQL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -56,8 +56,8 @@ def reload(source: DataFrame, keys: Sequence[str], order_by=None) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=None) -> DataFrame:
     """Insert new keys and update known ones; if there is nothing but keys, known ones are left alone.
 
-    ``target`` must be unique by key, as the conflict rule of a database demands. Columns only the target has keep
-    their value. One full outer join of two sides unique by key.
+    ``target`` should be unique by key, as the conflict rule of a database demands; if it is not, every row of a key is
+    updated, and none is lost. Columns only the target has keep their value. One full outer join.
     """
     rows = _as_target(dedup_by_key(source, keys, order_by), target)
     if set(rows.columns) <= set(keys):
@@ -97,17 +97,25 @@ def reconcile(
     order_by=None,
     changed_only: bool = False,
     unique_target: bool = False,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Insert missing rows and update existing ones: the new target and the changes that led to it.
 
     Without ``unique_target`` a key may repeat in the target without limit, each of its rows is updated, and the
     target streams through a join that splits skewed partitions. With it, one full outer join does.
+
+    Updates and inserts come from one match of the source rows with the target's keys. ``stage`` (see
+    :func:`~tidemark.session.staging`) writes that match, so that the source is read once.
     """
-    changes = merge_changes(target, source, keys, order_by, changed_only)
+    matched = merge_changes(target, source, keys, order_by)
+    matched = stage(matched) if stage else matched
+    changes = merge_changes(target, source, keys, order_by, changed_only) if changed_only else matched
+    # A scan, or rows made unique by other groups than the join's: either way both sides of the join are plain shuffles.
+    rows = matched if stage else dedup_by_key(source, keys, order_by, apart=not unique_target)
+    rows = _as_target(rows.drop(CHANGE), target)
     if unique_target:
-        return _overlaid(target, _as_target(dedup_by_key(source, keys, order_by), target), keys, "full_outer"), changes
-    rows = _as_target(dedup_by_key(source, keys, order_by, apart=True), target)
-    inserts = merge_changes(target, source, keys, order_by).where(col(CHANGE) == "INSERT").drop(CHANGE)
+        return _overlaid(target, rows, keys, "full_outer"), changes
+    inserts = matched.where(col(CHANGE) == "INSERT").drop(CHANGE)
     return append(_overlaid(target, rows, keys, "left"), inserts), changes
 
 

@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping
 from decimal import Decimal
 from functools import reduce
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from .cdc import live_rows
 
 _NUMERIC = re.compile(r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*")
 
+_LONGEST_NAME = 100
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]{1,100}")
+
 
 def _equals(value: Column, data_type: T.DataType, text: str) -> Column:
     """``value`` = ``text``, with the literal in the type of the column so that the filter reaches the scan."""
@@ -24,7 +28,7 @@ def _equals(value: Column, data_type: T.DataType, text: str) -> Column:
     number = Decimal(text.strip())
     if isinstance(data_type, T.StringType):
         # A numeric value compares as a number: 7 finds '7' and '007'.
-        return value.try_cast("decimal(38,18)") == F.lit(number).cast("decimal(38,18)")
+        return _same_number(value, number)
     if isinstance(data_type, T.BooleanType):
         return value == F.lit(number != 0)
     if isinstance(data_type, T.IntegralType):
@@ -35,6 +39,22 @@ def _equals(value: Column, data_type: T.DataType, text: str) -> Column:
     return value == F.lit(text.strip()).cast(data_type)
 
 
+def _same_number(value: Column, number: Decimal) -> Column:
+    """Whether a text is the number, by its digits: exact at any length. Texts with an exponent compare as decimals."""
+    sign, whole, rest = re.fullmatch(r"(-?)0*([0-9]*)(?:\.([0-9]*?)0*)?", format(number, "f")).groups(default="")
+    text = F.trim(value)
+    body = F.regexp_replace(text, "^[+-]", "")
+    same = (F.regexp_replace(F.substring_index(body, ".", 1), "^0+", "") == whole) & (
+        F.when(F.contains(body, F.lit(".")), F.regexp_replace(F.substring_index(body, ".", -1), "0+$", "")).otherwise("") == rest
+    )
+    if whole or rest:
+        same = same & (F.startswith(text, F.lit("-")) == F.lit(bool(sign)))
+    plain = value.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$")
+    limit = abs(number) < Decimal(10) ** 20 and number == round(number, 18)
+    scaled = value.try_cast("decimal(38,18)") == F.lit(number if limit else 0).cast("decimal(38,18)")
+    return F.when(plain, same).otherwise(scaled if limit else F.lit(False))
+
+
 def partition_filter(df: DataFrame, column: str, value: str) -> DataFrame:
     """Rows whose ``column`` equals ``value``; text that looks like a number compares as one."""
     return df.where(_equals(col(column), df.schema[column].dataType, value))
@@ -58,14 +78,24 @@ def build_partition(
     return built
 
 
-def build_all_partitions(df: DataFrame, column: str, path: str, codec: str = "snappy", live_only: bool = False) -> None:
-    """The extracts for all values of ``column`` at once, one folder per value.
-
-    The rebalance gathers each value in few files and splits a value that is too large for one task.
-    """
-    rows = live_rows(df) if live_only else df
-    writer = rows.hint("rebalance", col(column)).write.mode("overwrite").option("compression", codec)
-    writer.partitionBy(column).parquet(path)
+def extract_name(value: str | None) -> str:
+    """A value as a folder name: itself if it is plain, else its bytes in hexadecimal digits, or their digest if too long."""
+    if value is None:
+        return "null"
+    if _PLAIN_NAME.fullmatch(value):
+        return f"s-{value}"
+    raw = value.encode()
+    return f"x-{raw.hex().upper()}" if len(raw) <= _LONGEST_NAME else f"h-{sha256(raw).hexdigest()}"
+
+
+def extract_column(value: Column) -> Column:
+    """:func:`extract_name` of a column."""
+    text = value.cast("string")
+    plain = text.rlike(f"^(?:{_PLAIN_NAME.pattern})$")
+    short = F.concat(F.lit("x-"), F.hex(F.encode(text, "UTF-8")))
+    named = F.when(plain, F.concat(F.lit("s-"), text)).when(F.octet_length(text) <= _LONGEST_NAME, short)
+    named = F.when(text.isNotNull(), named.otherwise(F.concat(F.lit("h-"), F.sha2(text, 256))))
+    return F.coalesce(named, F.lit("null"))
 
 
 def partition_stats(tables: Mapping[str, DataFrame]) -> DataFrame:

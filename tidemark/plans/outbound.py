@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -14,14 +15,19 @@ from ..operators.changelog import build_changelog
 from ..operators.export import prepare_export
 from ..operators.keys import dedup_by_key
 from ..operators.merge import CHANGE, append, reconcile, reload, upsert
-from ..session import cut_lineage
+from ..session import staging
 from ..sinks.files import CHANGELOG_CODEC, write_csv, write_parquet
 from ..sinks.jdbc import append_jdbc, replace_jdbc
+from ..sources.storage import stored_size
+from .store import SnapshotStore, Version, mark_batch, publish_snapshot, read_version, version_of_batch, versions
+from .sync import SyncResult
 
 # The operation names the changelog carries per plan. A reconciled row carries its own.
 PLAN_OPERATIONS = {"append": "INSERT", "upsert": "UPSERT", "reload": "TRUNCATE_RELOAD", "reconcile": None}
 # End of fixed values.
 
+JOB_FOLDER = "__job"
+
 
 @dataclass(frozen=True)
 class WritePlan:
@@ -57,7 +63,13 @@ def write_plan(config: Mapping[str, Any], target_kind: str) -> WritePlan:
 
 
 def run_plan(
-    plan: WritePlan, target: DataFrame | None, source: DataFrame, now: Any, job_id: str | None = None, order_by=None
+    plan: WritePlan,
+    target: DataFrame | None,
+    source: DataFrame,
+    now: Any,
+    job_id: str | None = None,
+    order_by=None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Export:
     """Work out an export without writing it. ``source`` comes from :func:`prepare_export`; ``target`` is None if new.
 
@@ -74,7 +86,7 @@ def run_plan(
         written = reload(source, plan.keys, order_by)
         result = append(base, written)
     else:
-        result, written = reconcile(base, source, plan.keys, order_by)
+        result, written = reconcile(base, source, plan.keys, order_by, stage=stage)
     return Export(result, written.drop(HASH_COLUMN), build_changelog(written, now, job_id, plan.operation))
 
 
@@ -96,13 +108,52 @@ def export_to_jdbc(
     """
     source = prepare_export(snapshot, target_schema or (target.schema if target is not None else None), **prepare)
     export = run_plan(plan, target, source, now, job_id)
-    entries = cut_lineage(export.changelog) if changelog_path else None
-    if plan.action == "append" and not plan.clear_first:
-        append_jdbc(export.written.drop(CHANGE), options)
-    else:
-        replace_jdbc(export.target, options)
-    if entries is not None:
-        append_changelog(entries, changelog_path)
+    with staging(snapshot.sparkSession) as stage:
+        entries = stage(export.changelog) if changelog_path else None
+        if plan.action == "append" and not plan.clear_first:
+            append_jdbc(export.written.drop(CHANGE), options)
+        else:
+            replace_jdbc(export.target, options)
+        if entries is not None:
+            append_changelog(entries, changelog_path, job_id)
+
+
+def export_to_store(
+    snapshot: DataFrame,
+    store: SnapshotStore,
+    plan: WritePlan,
+    now: Any,
+    job_id: str,
+    target_schema=None,
+    changelog_path: str | None = None,
+    order_by=None,
+    **prepare,
+) -> SyncResult:
+    """Clean, write by plan into a stored Parquet table, and record the changelog of the job: one commit.
+
+    The table is a version of ``store`` without tags. A job that failed half-way is run again under its id: its version did
+    not count, and its changelog is replaced.
+    """
+    spark = snapshot.sparkSession
+    before = versions(spark, store)
+    done = version_of_batch(spark, store, job_id)
+    before = [v for v in before if done is None or v.number < done]
+    version = done or (before[-1].number + 1 if before else 1)
+    target = read_version(spark, store, before[-1]) if before else None
+    seen = Observation()
+    with staging(spark) as stage:
+        schema = target_schema or (target.schema if target is not None else None)
+        source = stage(prepare_export(snapshot, schema, **prepare))
+        export = run_plan(plan, target, source, now, job_id, order_by, stage)
+
+        def record(written: Version) -> None:
+            if changelog_path:
+                append_changelog(export.changelog, changelog_path, job_id)
+            mark_batch(spark, store, written, job_id)
+
+        observed = export.target.observe(seen, F.count("*").alias("rows"))
+        written = publish_snapshot(observed, store, version, before_commit=record)
+    return SyncResult(version, dict(seen.get), stored_size(spark, store.version_path(*written)))
 
 
 def export_to_csv(
@@ -130,10 +181,14 @@ def export_to_csv(
     return path, seen.get["rows"]
 
 
-def append_changelog(entries: DataFrame, path: str) -> None:
-    """Add entries to a stored changelog; earlier files are not rewritten."""
-    write_parquet(entries, path, codec=CHANGELOG_CODEC, mode="append")
+def append_changelog(entries: DataFrame, path: str, job_id: str | None = None) -> None:
+    """Add the entries of a job to a stored changelog; other jobs' files are not touched.
+
+    A job has a folder of its own, so a job that runs again replaces its entries. Without an id they are added as they are.
+    """
+    folder = f"{path.rstrip('/')}/{JOB_FOLDER}={quote(job_id or 'unnamed', safe='')}"
+    write_parquet(entries, folder, codec=CHANGELOG_CODEC, mode="overwrite" if job_id else "append")
 
 
 def read_changelog(spark, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path).drop(JOB_FOLDER)

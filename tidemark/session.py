@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from .sources.storage import remove_folder
 
 # Set on every session. Parallelism is left to the caller and to AQE: on a cluster start from a large
 # ``shuffle_partitions`` and let AQE merge small partitions up to the advisory size.
@@ -79,7 +81,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="tidemark-")
     if sc.getCheckpointDir() is None:
@@ -92,6 +94,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes a frame as Parquet into the shared folder and gives back its scan, for the time of a block.
+
+    What it wrote is removed at the end of the block, also after a failure; frames over it must not be used any more then.
+    """
+    folder = scratch_path(spark, "stage")
+
+    def stage(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield stage
+    finally:
+        remove_folder(spark, folder)
+
+
 def cut_lineage(df):
     """Materialize ``df`` in the shared folder, so that later stages do not recompute it."""
     shared_dir(df.sparkSession)
