@@ -36,6 +36,12 @@ def test_article_without_the_rest():
     assert pages.main_text(html, None)[0] == "T & t\none two three\nfour\na\nb\n1 < 2 é"
 
 
+def test_landmarks_by_role_and_outer_headers():
+    html = '<div class="page-header">Site</div><div role="main"><div class="article-header"><h1>T</h1></div><p>x</div><p>y'
+    assert pages.main_text(html, None)[0] == "T\nx"
+    assert pages.main_text('<div id="topbar">a</div><div>b</div><p hidden>c<p style="display: none">d<p>e', None)[0] == "b\ne"
+
+
 def test_lines_shared_with_the_nearest_page_go(spark):
     def made(text):
         return f"<body><p>Home<p>Log in<div><p>{text}<p>more {text}</div><p>All rights reserved</body>"

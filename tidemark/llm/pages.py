@@ -43,8 +43,10 @@ MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr"
     " notice notices nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside widget widgets related recommended"
     " comment comments disqus reply replies footer masthead toolbar share sharing social newsletter subscribe subscription signup"
-    " login popup modal overlay pagination pager skip paywall alert hidden".split()
+    " login popup modal overlay pagination pager skip paywall alert hidden respond responses discussion adbox adslot adunit".split()
 )
+#: And those that do so outside an article, where they are no part of its title.
+OUTER_MARKS = frozenset("header topbar copyright legal".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -52,18 +54,21 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+MAIN_ROLE = re.compile(r"\brole\s*=\s*[\"']?main\b", re.IGNORECASE)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 SPACES = re.compile(r"\s+")
 
 
-def _marked(name: str, rest: str) -> bool:
-    """Whether the element's attributes say that it is no main text."""
+def _marked(rest: str, outside: bool) -> bool:
+    """Whether the element's attributes say that it is no main text; ``outside`` of an article more of them do."""
     if not rest or "=" not in rest and "hidden" not in rest:
         return False
     for key, a, b, c in ATTRIBUTE.findall(rest):
         key, value = key.lower(), a or b or c
-        if key in ("class", "id") and any(w.lower() in MARKS for w in WORDS.findall(value)):
-            return True
+        if key in ("class", "id"):
+            words = {w.lower() for w in WORDS.findall(value)}
+            if words & MARKS or outside and words & OUTER_MARKS:
+                return True
         if key == "role" and value.lower() in ROLES or key == "aria-hidden" and value.lower() == "true" or key == "hidden":
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
@@ -140,10 +145,11 @@ def lines(page: str) -> list[tuple[str, int]]:
             ended = ENDS_ITSELF.get(name, "").split()
             if ended and stack and stack[-1][0] in ended:
                 pop_to(len(stack) - 1)
-        elif name == "body" or not (name in HIDDEN or _marked(name, rest)):
+        hidden = name in HIDDEN or name == "header" and not landmarks
+        hidden = hidden or name not in ("body", "html") and _marked(rest, not landmarks)
+        if not (block or hidden):
             continue  # inline elements need no place on the stack
-        hidden = name in HIDDEN or name == "header" and not landmarks or _marked(name, rest) and name not in ("body", "html")
-        landmark = name in LANDMARK and not hidden
+        landmark = not hidden and (name in LANDMARK or bool(MAIN_ROLE.search(rest)))
         stack.append((name, hidden, landmark))
         hides += hidden
         landmarks += landmark
