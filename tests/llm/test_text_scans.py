@@ -53,7 +53,7 @@ def test_secrets_on_awkward_rows(spark, docs):
     rows = frame.select("doc_id", "spans", secret_scan.find_secrets(F.col("text"), models).alias("f")).collect()
     assert len(rows) == len(AWKWARD)
     assert rows[0]["f"]["base_sha256"] == rows[1]["f"]["base_sha256"] == sha256_hex("")
-    assert {r["f"]["spans"] for r in rows} == {""}
+    assert [r["f"]["spans"] for r in rows] == ["hex:0:100000" if t == "9" * 100_000 else "" for t in AWKWARD]
     assert docs().select(secret_scan.find_secrets(F.col("text"), secret_scan.train(docs()))).collect() == []
 
 
