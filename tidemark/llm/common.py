@@ -83,3 +83,19 @@ def slice_starts(df: DataFrame, key: str, slices: int) -> list[int]:
     at = [i / slices for i in range(slices)]
     row = df.agg(F.percentile_approx(key, at, 10_000).alias("cuts")).first()
     return sorted(set(row["cuts"] or []))
+
+
+def likely_among(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose numeric ``key`` is in ``ids`` (a column of the same name), and a few others.
+
+    To be put before a join on the key, so that its shuffle moves little. The ids' hashes mark bits in 256 bitmaps of 4 KB;
+    that is what is broadcast, however many ids there are. The more ids, the more other rows stay.
+    """
+    spread = F.pmod(F.xxhash64(key), F.lit(1 << 23))
+    marked = ids.select(spread.alias("place")).groupBy(F.shiftright("place", 15).alias("mark_group"))
+    marks = marked.agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(32767))).alias("mark_bits"))
+    place = spread.bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.substring("mark_bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked_here = byte.bitwiseAND(F.pow(F.lit(2), place.bitwiseAND(F.lit(7))).cast("int")) != 0
+    same = F.shiftright(spread, 15) == F.col("mark_group")
+    return rows.join(F.broadcast(marks), same & marked_here).select(*[rows[c] for c in rows.columns])

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, small_batches, text_of, true_runs
+from tidemark.llm.common import likely_among, mix64, small_batches, text_of, true_runs
 from tidemark.llm.graph import components
 from tidemark.session import cut_lineage
 
@@ -159,7 +159,7 @@ def _similar(percent: int):
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the similarity."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+    texts = likely_among(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).join(ids, "id")
     sets = texts.mapInPandas(_full_sets(width), "id long, shingles binary")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
