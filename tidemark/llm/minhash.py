@@ -6,8 +6,9 @@ so that every coordinate is filled at last. The smallest value stays. Two sets a
 Jaccard similarity, and the share of agreeing coordinates is as concentrated as that of independent ones.
 
 Equal sets are one class and are sketched once. In each bucket of equal bands all classes are compared with the smallest
-one, on full sets. Buckets whose classes still lie in different components are then compared block by block, where the
-sketches sort out pairs that cannot reach the similarity; so no link is lost, and no group is expanded into all its pairs.
+one, on full sets. Where a bucket's classes still lie in different components, those outside the largest are compared with
+all of it, block by block, and the sketches sort out pairs that cannot reach the similarity; so no link is lost, and no group
+is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from tidemark.session import cut_lineage
 BANDS, ROWS = 42, 6  # a pair of similarity 0.8 shares no band with a chance of 3e-6
 COORDINATES = BANDS * ROWS
 BLOCK = 256  # classes of a bucket that are compared with each other at once
-SPREAD = 6  # standard deviations below the similarity, from where a sketch rules a pair out
+SPREAD = 4.5  # standard deviations below the similarity, from where a sketch rules a pair out
 
 SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, coords binary"
 
@@ -135,6 +136,16 @@ def _full_sets(width: int):
     return rows
 
 
+def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets, as sorted hashes, are similar enough."""
+    short, long = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(short) < percent * len(long):
+        return False
+    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+    same = int((long[at] == short).sum())
+    return 100 * same >= percent * (len(short) + len(long) - same)
+
+
 def _similar(percent: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -142,50 +153,92 @@ def _similar(percent: int):
             for left, right in zip(batch["left"], batch["right"], strict=True):
                 if left != last:
                     last, x = left, np.frombuffer(left, dtype=np.uint64)
-                y = np.frombuffer(right, dtype=np.uint64)
-                few, many = sorted((len(x), len(y)))
-                if 100 * few < percent * many:
-                    keep.append(False)
-                    continue
-                short, long = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                same = int((long[at] == short).sum())
-                keep.append(100 * same >= percent * (few + many - same))
+                keep.append(_reaches(x, np.frombuffer(right, dtype=np.uint64), percent))
             yield batch.loc[keep, ["a", "b"]]
 
     return rows
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``id, shingles``: the full sets of the documents whose ids are given."""
+    texts = likely_among(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).join(ids, "id")
+    return texts.mapInPandas(_full_sets(width), "id long, shingles binary")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the similarity."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = likely_among(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).join(ids, "id")
-    sets = texts.mapInPandas(_full_sets(width), "id long, shingles binary")
+    sets = _sets_of(docs, ids, width)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return joined.mapInPandas(_similar(percent), "a long, b long").distinct()
 
 
-def _block_pairs(percent: int):
-    """Pairs of classes of different components within each block pair of a bucket, unless their sketches rule them out."""
+def _block_links(percent: int):
+    """Links between a visitor and a resident of different components: sketches first, then the full sets."""
     limit = percent / 100
     least = int(COORDINATES * (limit - SPREAD * (limit * (1 - limit) / COORDINATES) ** 0.5))
 
-    def compared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
         coords = np.array([np.frombuffer(c, dtype=np.uint16) for c in rows["coords"]])
-        ids, comps, blocks = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-        low, high = key[1], key[2]
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["shingles"]]
+        ids, comps, minor = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["minor"].to_numpy()
+        visits, band = rows["visits"].to_numpy(), int(rows["band"].iloc[0])
+        residents = np.flatnonzero(~visits)
         found = []
-        for i in np.flatnonzero(blocks == low):
-            others = np.flatnonzero((blocks == high) & (comps != comps[i]) & ((low != high) | (ids > ids[i])))
-            alike = (coords[others] == coords[i]).sum(axis=1) >= least
-            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in others[alike]]
+        for i in np.flatnonzero(visits):
+            # Two of a minor component visit each other; the smaller one's visit counts.
+            fit = residents[(comps[residents] != comps[i]) & (~minor[residents] | (ids[residents] > ids[i]))]
+            same = coords[fit] == coords[i]
+            alike = same.sum(axis=1) >= least
+            # A pair that shares several bands is compared in the first of them.
+            first = same[alike].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+            for j in fit[alike][first]:
+                if _reaches(sets[i], sets[j], percent):
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return compared
 
 
+def _open_links(docs: DataFrame, placed: DataFrame, coords: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components of a bucket; ``placed`` has ``bucket, band, id, component``.
+
+    A bucket's most frequent component needs no comparison within itself. All other classes, the minor ones, visit every
+    block of the bucket's classes; visitors come in blocks as well. So a bucket of one large component and a few others
+    costs a row per class and block of others, and only links leave a block.
+    """
+    counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most")
+    )
+    mixed = main.where(F.col("most") < F.col("size"))
+    rest = placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("main"))
+    rest = rest.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    rest = rest.withColumn("groups", F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int"))
+    hashed = F.xxhash64("id")
+    block, group = F.pmod(hashed, F.col("blocks")).cast("int"), F.pmod(hashed, F.col("groups")).cast("int")
+
+    def meets(own, count, own_first: bool, visits: bool):
+        return F.transform(
+            F.sequence(F.lit(0), F.col(count) - 1),
+            lambda j: F.struct(
+                (own if own_first else j).alias("block"), (j if own_first else own).alias("group"), F.lit(visits).alias("visits")
+            ),
+        )
+
+    stays = meets(block, "groups", True, False)
+    goes = meets(group, "blocks", False, True)
+    met = F.explode(F.when(F.col("minor"), F.concat(stays, goes)).otherwise(stays)).alias("meet")
+    dealt = rest.select("bucket", "band", "id", "component", "minor", met)
+    dealt = dealt.select("bucket", "band", "id", "component", "minor", "meet.block", "meet.group", "meet.visits")
+    ids = rest.select("id").distinct()
+    known = likely_among(coords, "id", ids).join(ids, "id").dropDuplicates(["id"]).join(_sets_of(docs, ids, width), "id")
+    compared = dealt.join(known, "id").groupBy("bucket", "block", "group")
+    return compared.applyInPandas(_block_links(percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per document its set's size and its component of links of at least ``percent`` percent Jaccard similarity.
 
@@ -201,13 +254,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     classes = held.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("id"))
     classes = cut_lineage(classes)
-    own = held.join(classes, ["s1", "s2", "n_shingles"]).where(F.col("doc_id") == F.col("id"))
-    own = own.select("id", "s1", "s2", "bands", "coords")
+    own = held.select("doc_id", "s1", "s2", "n_shingles", "bands").join(classes, ["s1", "s2", "n_shingles"])
+    own = own.where(F.col("doc_id") == F.col("id")).select("id", "bands")
 
-    buckets = own.select("id", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last"), F.count("*").alias("size"))
-    shared = shared.where(F.col("centre") != F.col("last"))
-    members = cut_lineage(buckets.join(shared.select("bucket", "centre", "size"), "bucket"))
+    buckets = own.select("id", F.posexplode("bands").alias("band", "bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last"))
+    shared = shared.where(F.col("centre") != F.col("last")).select("bucket", "centre")
+    members = cut_lineage(buckets.join(shared, "bucket"))
 
     pairs = members.where(F.col("id") != F.col("centre")).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = cut_lineage(_verified(base, pairs, width, percent))
@@ -215,25 +268,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     # Buckets that hold more than one component yet.
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rest = placed.join(mixed.where(F.col("lo") != F.col("hi")).select("bucket"), "bucket")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rest = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda j: F.struct(F.least(F.col("block"), j).alias("low"), F.greatest(F.col("block"), j).alias("high")),
-    )
-    rest = rest.select("bucket", "id", "component", "block", F.explode(meets).alias("meet"))
-    rest = rest.join(own.select("id", "coords").dropDuplicates(["id"]), "id")
-    left_over = (
-        rest.groupBy("bucket", F.col("meet.low").alias("low"), F.col("meet.high").alias("high"))
-        .applyInPandas(_block_pairs(percent), "a long, b long")
-        .distinct()
-    )
-    left_over = cut_lineage(left_over.join(pairs, ["a", "b"], "left_anti"))
-    if not left_over.isEmpty():
-        links = links.unionByName(_verified(base, left_over, width, percent))
+    placed = placed.select("bucket", "band", "id", F.coalesce("component", "id").alias("component"))
+    coords = held.select(F.col("doc_id").alias("id"), "coords")
+    links = links.unionByName(cut_lineage(_open_links(base, placed, coords, width, percent)))
 
     # Documents under one id with different sets tie their classes together.
     tagged = held.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "id")
