@@ -52,6 +52,14 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     assert got[9] == "Home\nLog in\nalone\nmore alone\nAll rights reserved"
 
 
+def test_a_body_outside_the_teasers_stays(spark):
+    def made(i):
+        return f"<body><p>Home<article>teaser</article><div><p>story {i}<p>more {i}</div><p>All rights reserved</body>"
+
+    got = extracted(spark, [page(made(i), f"http://h.org/{i}", i) for i in range(3)])
+    assert got == {i: f"teaser\nstory {i}\nmore {i}" for i in range(3)}
+
+
 def test_copies_of_an_article_stay(spark):
     html = "<body><nav>a</nav><article><p>same<p>text</article></body>"
     assert extracted(spark, [page(html, f"http://h.org/{i}", i) for i in range(3)]) == dict.fromkeys(range(3), "same\ntext")

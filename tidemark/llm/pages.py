@@ -1,10 +1,11 @@
 """Main text of web pages: nearest-URL page differencing, checked against the pages' own landmarks.
 
 A page becomes lines, one per block, each with a sort: chrome (inside a menu, footer, form, advert and the like), content
-(inside an article or main landmark) or open (neither). Pages of a host are ordered by URL path, and each is paired with the
+(inside an article landmark, or main if inside a main one) or open (neither). Pages of a host are ordered by URL path, and each is paired with the
 neighbour whose path shares the longest prefix. The two pages' lines are aligned by longest common subsequence; open lines
-that both share are template text and are deleted. Chrome goes in any case. Content lines stay even if shared, as copies of
-an article and quoted lines are content; where a page has content lines, its open lines are not main text.
+that both share are template text and are deleted, all other open lines stay. Chrome goes in any case. Content lines stay even if
+shared, as copies of an article and quoted lines are content. Only a page that is compared with none and has a main landmark
+loses all its open lines, as nothing else tells which of them are template text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import small_batches
 from tidemark.session import cut_lineage
 
-CHROME, OPEN, CONTENT = 0, 1, 2
+CHROME, OPEN, CONTENT, MAIN = 0, 1, 2, 3
 
 # HTML's element names by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -80,8 +81,8 @@ def lines(page: str) -> list[tuple[str, int]]:
     """The page's blocks in order, white space made single spaces, and their sorts; scripts, styles and comments left out."""
     out: list[tuple[str, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, whether they hide, whether they are landmarks
-    hides = landmarks = 0
+    stack: list[tuple[str, bool, int]] = []  # open elements: name, whether they hide, their sort if they are landmarks
+    hides = landmarks = mains = 0
     heading = in_header = 0
 
     def flush() -> None:
@@ -89,16 +90,17 @@ def lines(page: str) -> list[tuple[str, int]]:
             text = SPACES.sub(" ", entities.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                sort = CHROME if hides else CONTENT if landmarks else OPEN
-                if sort == CONTENT and in_header and not heading:
+                sort = CHROME if hides else MAIN if mains else CONTENT if landmarks else OPEN
+                if sort >= CONTENT and in_header and not heading:
                     sort = CHROME
                 out.append((text, sort))
 
     def pop_to(at: int) -> None:
-        nonlocal hides, landmarks, heading, in_header
+        nonlocal hides, landmarks, mains, heading, in_header
         for name, hidden, landmark in stack[at:]:
             hides -= hidden
-            landmarks -= landmark
+            landmarks -= landmark > 0
+            mains -= landmark == MAIN
             heading -= name in HEADING
             in_header -= name == "header"
         del stack[at:]
@@ -149,10 +151,12 @@ def lines(page: str) -> list[tuple[str, int]]:
         hidden = hidden or name not in ("body", "html") and _marked(rest, not landmarks)
         if not (block or hidden):
             continue  # inline elements need no place on the stack
-        landmark = not hidden and (name in LANDMARK or bool(MAIN_ROLE.search(rest)))
+        is_main = name == "main" or bool(MAIN_ROLE.search(rest))
+        landmark = 0 if hidden else MAIN if is_main else CONTENT if name in LANDMARK else 0
         stack.append((name, hidden, landmark))
         hides += hidden
-        landmarks += landmark
+        landmarks += landmark > 0
+        mains += landmark == MAIN
         heading += name in HEADING
         in_header += name == "header"
     flush()
@@ -208,9 +212,8 @@ def main_text(page: str, neighbour: list[int] | None) -> tuple[str, int]:
     """The main text, and how many of the page's lines the neighbour shares."""
     every = lines(page)
     shared = set(common_lines([hash_text(t) for t, _ in every], neighbour)) if neighbour else set()
-    kept = [t for t, sort in every if sort == CONTENT]
-    if not kept:
-        kept = [t for i, (t, sort) in enumerate(every) if sort == OPEN and i not in shared]
+    opens = neighbour is not None or all(sort != MAIN for _, sort in every)
+    kept = [t for i, (t, sort) in enumerate(every) if sort >= CONTENT or sort == OPEN and opens and i not in shared]
     return "\n".join(kept), len(shared)
 
 
