@@ -208,3 +208,36 @@ def test_near_documents(spark, docs):
     got = dict(map(tuple, fingerprints.near_documents(marked).collect()))
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 4}
     assert fingerprints.near_documents(marked.where("false")).collect() == []
+
+
+def marks_with_symbols(rng, n):
+    """Fingerprints whose first band is the same in all, in families of a few changed symbols; the smallest id is like none."""
+    opening, out = "".join(rng.choice("0123456789abcdef") for _ in range(12)), []
+    for i in range(n):
+        base = [rng.choice("0123456789abcdef") for _ in range(2 * fingerprints.SAMPLES)]
+        if i > 2 and i % 3:
+            base = list(out[-1][2:])
+            for _ in range(rng.randint(1, 12)):
+                base[rng.randrange(12, 96)] = rng.choice("0123456789abcdef")
+        out.append("09" + opening + "".join(base[12:]))
+    return out
+
+
+def test_near_documents_equal_brute_force_behind_unlike_centres(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BLOCK", 4)
+    marks = marks_with_symbols(random.Random(12), 60)
+    links = [(i, j) for i in range(60) for j in range(i) if fingerprints.likeness(marks[i], marks[j]) >= fingerprints.LIKE]
+    frame = spark.createDataFrame(list(enumerate(marks)), "doc_id long, fingerprint string")
+    got = dict(map(tuple, fingerprints.near_documents(frame).collect()))
+    assert [got[i] for i in range(60)] == roots(60, links)
+    assert len(set(got.values())) > 10 and links
+
+
+def test_op8_carries_near_ids(spark):
+    from tidemark.llm.queries import QUERIES
+
+    rows = QUERIES["op8_fingerprints"](spark, "/root/testdata/sf0.001").collect()
+    by_mark = {}
+    for r in rows:
+        by_mark.setdefault(r["fingerprint"], set()).add(r["near_id"])
+    assert all(len(ids) == 1 for ids in by_mark.values()) and any(r["near_id"] != r["doc_id"] for r in rows)

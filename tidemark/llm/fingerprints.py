@@ -6,7 +6,8 @@ at a small edit distance have walks that meet again after an edit, and so output
 samples the output at fixed places: ``SAMPLES`` places of a stretch whose length is a power of two, the smallest that holds
 two steps per character, and as many of the stretch twice as long, so that texts of either side of such a length can be compared too.
 
-Bands of sampled symbols make the buckets in which near duplicates meet; their likeness verifies them.
+Bands of sampled symbols make the buckets in which near duplicates meet; their likeness verifies them. In each bucket all
+classes are compared with the smallest one first; what lies in different components after that is compared block by block.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import code_points, mix64, sha256_hex, slice_starts, small_batches, text_of
 from tidemark.llm.graph import components
+from tidemark.llm.minhash import met_by, open_meets
 from tidemark.session import cut_lineage
 
 SAMPLES = 96
@@ -29,6 +31,8 @@ ROWS_CHARS = 4_000_000
 LANES, LANE_CHARS = 2 * ROWS + 1, 4 * ROWS_CHARS  # texts walked side by side
 SLICE_ROWS = 1000
 BAND_SYMBOLS, BANDS = 12, 8  # bands of a level's samples
+BAND_LEAST = 6  # symbols that a band has before the text's end, to be a bucket; the first band needs one
+BLOCK = 256  # classes of a bucket that are compared with each other at once
 LIKE = 0.9
 PAD = 255  # stands behind a text's end; the pointer stays there
 
@@ -211,26 +215,48 @@ def fingerprint_documents(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> Data
     return ordered.select("slice", "doc_id", "text", "copied").mapInPandas(_fingerprint_rows, FINGERPRINTED)
 
 
-def near_documents(marked: DataFrame, like: float = LIKE) -> DataFrame:
-    """``doc_id, near_id`` for each row of ``doc_id, fingerprint``: the smallest id that its links reach, itself included.
-
-    Equal fingerprints are one class. A class is compared with the smallest class of every bucket it is in, by the likeness
-    of the whole fingerprints; so no bucket is expanded into all its pairs. Rows without an id or fingerprint are their own.
-    """
+def _block_links(like: float):
+    """Links between a visitor and a resident of different components."""
+
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
+        raw = np.array([np.frombuffer(f.encode(), np.uint8) for f in rows["fingerprint"]])
+        levels = (raw[:, 0].astype(int) - 48) * 10 + raw[:, 1] - 48
+        halves = raw[:, 2:].reshape(-1, 2, SAMPLES)
+        ids, comps, minor = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["minor"].to_numpy()
+        visits = rows["visits"].to_numpy()
+        residents = np.flatnonzero(~visits)
+        found = []
+        for i in np.flatnonzero(visits):
+            fit = met_by(i, residents, ids, comps, minor)
+            step = levels[fit] - levels[i]  # as in likeness: the shorter text's longer stretch against the other's shorter
+            fit, step = fit[np.abs(step) <= 1], step[np.abs(step) <= 1]
+            p, q = halves[i][(step == 1).astype(int)], halves[fit, (step == -1).astype(int)]
+            told = (p != HEX[16]) | (q != HEX[16])
+            n, same = told.sum(axis=1), ((p == q) & told).sum(axis=1)
+            near = (n > 0) & (np.maximum(0.0, (same / np.maximum(n, 1) - 1 / 16) / (1 - 1 / 16)) >= like)
+            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in fit[near]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return compared
+
+
+def _near_classes(marked: DataFrame, like: float) -> DataFrame:
+    """``fingerprint, near_id`` of all fingerprints of rows with an id."""
     small_batches(marked.sparkSession)
     held = marked.where(F.col("doc_id").isNotNull() & F.col("fingerprint").isNotNull())
     classes = cut_lineage(held.groupBy("fingerprint").agg(F.min("doc_id").alias("id")))
     level = F.substring("fingerprint", 1, 2).cast("int")
-    bands = F.array(
-        *[
-            F.xxhash64(level + half, F.lit(k), F.substring("fingerprint", 3 + half * SAMPLES + k * BAND_SYMBOLS, BAND_SYMBOLS))
-            for half in (0, 1)
-            for k in range(BANDS)
-        ]
-    )
+
+    def bucket(half: int, k: int) -> Column:
+        symbols = F.substring("fingerprint", 3 + half * SAMPLES + k * BAND_SYMBOLS, BAND_SYMBOLS)
+        real = F.length(F.regexp_replace(symbols, "-", ""))
+        return F.when(real >= (BAND_LEAST if k else 1), F.xxhash64(level + half, F.lit(k), symbols))
+
+    bands = F.array_compact(F.array(*[bucket(half, k) for half in (0, 1) for k in range(BANDS)]))
     buckets = classes.select("id", F.explode(F.array_distinct(bands)).alias("bucket"))
-    centres = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a != last")
-    pairs = buckets.join(centres, "bucket").where(F.col("a") != F.col("id")).select("a", F.col("id").alias("b")).distinct()
+    centres = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a != last").drop("last")
+    members = cut_lineage(buckets.join(centres, "bucket"))
+    pairs = members.where(F.col("a") != F.col("id")).select("a", F.col("id").alias("b")).distinct()
 
     @F.pandas_udf("double")
     def likenesses(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -238,8 +264,34 @@ def near_documents(marked: DataFrame, like: float = LIKE) -> DataFrame:
 
     left = classes.select(F.col("id").alias("a"), F.col("fingerprint").alias("left"))
     right = classes.select(F.col("id").alias("b"), F.col("fingerprint").alias("right"))
-    links = pairs.join(left, "a").join(right, "b").where(likenesses("left", "right") >= like).select("a", "b")
-    found = components(links).withColumnRenamed("node", "id")
-    named = classes.join(found, "id", "left").select("fingerprint", F.coalesce("component", "id").alias("near_id"))
-    placed = marked.select("doc_id", "fingerprint").join(named, "fingerprint", "left")
-    return placed.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("near_id", "doc_id")).alias("near_id"))
+    links = cut_lineage(pairs.join(left, "a").join(right, "b").where(likenesses("left", "right") >= like).select("a", "b"))
+    found = components(links)
+
+    # Buckets that hold more than one component yet.
+    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    dealt = open_meets(placed, BLOCK).join(classes, "id").groupBy("bucket", "block", "group")
+    links = links.unionByName(dealt.applyInPandas(_block_links(like), "a long, b long").distinct())
+    final = components(links).withColumnRenamed("node", "id")
+    return classes.join(final, "id", "left").select("fingerprint", F.coalesce("component", "id").alias("near_id"))
+
+
+def with_near_ids(marked: DataFrame, like: float = LIKE) -> DataFrame:
+    """The rows of ``doc_id, fingerprint`` and other columns with ``near_id``: the smallest id that their links reach, itself
+    included.
+
+    Equal fingerprints are one class. Classes that meet in a bucket are linked where the likeness of the whole fingerprints
+    reaches ``like``: all are compared with the bucket's smallest first, then those of different components block by block,
+    inside the tasks; so no bucket is expanded into all its pairs, and no link between components is lost. Bands of nearly
+    nothing but padding are no buckets, as all texts of a level would meet there. Rows without an id or fingerprint are
+    their own.
+    """
+    named = _near_classes(marked, like)
+    placed = marked.join(named, "fingerprint", "left")
+    near = F.when(F.col("doc_id").isNotNull(), F.coalesce("near_id", "doc_id")).alias("near_id")
+    return placed.select(*marked.columns, near)
+
+
+def near_documents(marked: DataFrame, like: float = LIKE) -> DataFrame:
+    """``doc_id, near_id`` for each row of ``doc_id, fingerprint``; see ``with_near_ids``."""
+    return with_near_ids(marked.select("doc_id", "fingerprint"), like).select("doc_id", "near_id")

@@ -188,8 +188,7 @@ def _block_links(percent: int):
         residents = np.flatnonzero(~visits)
         found = []
         for i in np.flatnonzero(visits):
-            # Two of a minor component visit each other; the smaller one's visit counts.
-            fit = residents[(comps[residents] != comps[i]) & (~minor[residents] | (ids[residents] > ids[i]))]
+            fit = met_by(i, residents, ids, comps, minor)
             same = coords[fit] == coords[i]
             alike = same.sum(axis=1) >= least
             # A pair that shares several bands is compared in the first of them.
@@ -202,12 +201,13 @@ def _block_links(percent: int):
     return compared
 
 
-def _open_links(docs: DataFrame, placed: DataFrame, coords: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different components of a bucket; ``placed`` has ``bucket, band, id, component``.
+def open_meets(placed: DataFrame, block_rows: int) -> DataFrame:
+    """The rows of buckets with several components, dealt out so that all classes of different ones meet in a block.
 
-    A bucket's most frequent component needs no comparison within itself. All other classes, the minor ones, visit every
-    block of the bucket's classes; visitors come in blocks as well. So a bucket of one large component and a few others
-    costs a row per class and block of others, and only links leave a block.
+    ``placed`` has ``bucket, id, component`` and other columns; ``minor, block, group, visits`` are added. A bucket's most
+    frequent component needs no comparison within itself. All other classes, the minor ones, visit every block of the
+    bucket's classes; visitors come in blocks as well. So a bucket of one large component and a few others costs a row per
+    class and block of others.
     """
     counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(
@@ -215,8 +215,8 @@ def _open_links(docs: DataFrame, placed: DataFrame, coords: DataFrame, width: in
     )
     mixed = main.where(F.col("most") < F.col("size"))
     rest = placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("main"))
-    rest = rest.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    rest = rest.withColumn("groups", F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int"))
+    rest = rest.withColumn("blocks", F.ceil(F.col("size") / block_rows).cast("int"))
+    rest = rest.withColumn("groups", F.ceil((F.col("size") - F.col("most")) / block_rows).cast("int"))
     hashed = F.xxhash64("id")
     block, group = F.pmod(hashed, F.col("blocks")).cast("int"), F.pmod(hashed, F.col("groups")).cast("int")
 
@@ -231,9 +231,18 @@ def _open_links(docs: DataFrame, placed: DataFrame, coords: DataFrame, width: in
     stays = meets(block, "groups", True, False)
     goes = meets(group, "blocks", False, True)
     met = F.explode(F.when(F.col("minor"), F.concat(stays, goes)).otherwise(stays)).alias("meet")
-    dealt = rest.select("bucket", "band", "id", "component", "minor", met)
-    dealt = dealt.select("bucket", "band", "id", "component", "minor", "meet.block", "meet.group", "meet.visits")
-    ids = rest.select("id").distinct()
+    return rest.select(*placed.columns, "minor", met).select(*placed.columns, "minor", "meet.block", "meet.group", "meet.visits")
+
+
+def met_by(i: int, residents: np.ndarray, ids: np.ndarray, comps: np.ndarray, minor: np.ndarray) -> np.ndarray:
+    """The residents of other components that visitor ``i`` is compared with; of two minor ones the smaller's visit counts."""
+    return residents[(comps[residents] != comps[i]) & (~minor[residents] | (ids[residents] > ids[i]))]
+
+
+def _open_links(docs: DataFrame, placed: DataFrame, coords: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components of a bucket; ``placed`` has ``bucket, band, id, component``."""
+    dealt = open_meets(placed, BLOCK)
+    ids = dealt.select("id").distinct()
     known = likely_among(coords, "id", ids).join(ids, "id").dropDuplicates(["id"]).join(_sets_of(docs, ids, width), "id")
     compared = dealt.join(known, "id").groupBy("bucket", "block", "group")
     return compared.applyInPandas(_block_links(percent), "a long, b long").distinct()

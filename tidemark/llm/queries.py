@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, fingerprints, minhash, packing, pages, pieces, pii, quality, secret_scan, vectors
+from tidemark.session import cut_lineage
 
 #: Where the vocabulary files are; a parameter, as they are not part of this repository.
 TOKENIZERS = "/opt/tokenizers"
@@ -69,7 +70,8 @@ def op6_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
-    return fingerprints.fingerprint_documents(_table(spark, sf, "documents"))
+    marked = cut_lineage(fingerprints.fingerprint_documents(_table(spark, sf, "documents")))
+    return fingerprints.with_near_ids(marked)
 
 
 def op9_chat_format(spark: SparkSession, sf: str) -> DataFrame:
