@@ -52,6 +52,24 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     assert got[9] == "Home\nLog in\nalone\nmore alone\nAll rights reserved"
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<article class='post category-advertising'><p>text</article>",
+        "<article class='post has-comments sponsored'><p>text</article>",
+        "<main class='with-sidebar'><p>text</main>",
+        "<div id=page class='no-sidebar'><p>text</div>",
+        "<div class='sidebar right-sidebar'><main><p>text<div class=related><article>x</article></div></main></div>",
+        "<div class='widget'><div role=main id='sidebar'><p>text</div></div>",
+        "<article>text</article><div class='comment-list'><article>x</article></div>",
+        "<article>text<article class='comment'>x</article></article>",
+    ],
+)
+def test_class_words_hide_no_landmark_or_its_wrapper(html):
+    made = f"<body><nav>a</nav><div class='site-footer'>b</div><div class='ad ad-1'>c</div>{html}</body>"
+    assert pages.main_text(made, None)[0] == "text"
+
+
 def test_a_body_outside_the_teasers_stays(spark):
     def made(i):
         return f"<body><p>Home<article>teaser</article><div><p>story {i}<p>more {i}</div><p>All rights reserved</body>"

@@ -39,7 +39,7 @@ BLOCK = frozenset(
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS_ITSELF = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-#: Words in a class or id that mark an element as no main text.
+#: Words that mark an element as no main text, where a class or id is made of nothing but them and PLACES.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr"
     " notice notices nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside widget widgets related recommended"
@@ -48,6 +48,11 @@ MARKS = frozenset(
 )
 #: And those that do so outside an article, where they are no part of its title.
 OUTER_MARKS = frozenset("header topbar copyright legal".split())
+#: Words that say nothing about an element but where it stands or what part it is.
+PLACES = frozenset(
+    "site page main post entry article top bottom left right primary secondary global mobile desktop box bar block section area"
+    " container wrapper wrap inner outer list item items link links button buttons icon icons title form text".split()
+)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -60,16 +65,10 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 SPACES = re.compile(r"\s+")
 
 
-def _marked(rest: str, outside: bool) -> bool:
-    """Whether the element's attributes say that it is no main text; ``outside`` of an article more of them do."""
-    if not rest or "=" not in rest and "hidden" not in rest:
-        return False
-    for key, a, b, c in ATTRIBUTE.findall(rest):
+def _hidden(attributes: list[tuple[str, ...]]) -> bool:
+    """Whether the element's attributes hide it, or give it a role of no main text."""
+    for key, a, b, c in attributes:
         key, value = key.lower(), a or b or c
-        if key in ("class", "id"):
-            words = {w.lower() for w in WORDS.findall(value)}
-            if words & MARKS or outside and words & OUTER_MARKS:
-                return True
         if key == "role" and value.lower() in ROLES or key == "aria-hidden" and value.lower() == "true" or key == "hidden":
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
@@ -77,11 +76,31 @@ def _marked(rest: str, outside: bool) -> bool:
     return False
 
 
+def _marked(attributes: list[tuple[str, ...]], outside: bool) -> bool:
+    """Whether a whole class or id says that the element is no main text; ``outside`` of an article more of them do."""
+    for key, a, b, c in attributes:
+        if key.lower() in ("class", "id"):
+            for token in (a or b or c).split():
+                words = {w.lower() for w in WORDS.findall(token)}
+                told = words & MARKS or outside and words & OUTER_MARKS
+                if told and all(w in MARKS or w in PLACES or w.isdigit() or outside and w in OUTER_MARKS for w in words):
+                    return True
+    return False
+
+
 def lines(page: str) -> list[tuple[str, int]]:
-    """The page's blocks in order, white space made single spaces, and their sorts; scripts, styles and comments left out."""
-    out: list[tuple[str, int]] = []
+    """The page's blocks in order, white space made single spaces, and their sorts; scripts, styles and comments left out.
+
+    Classes and ids never hide a main landmark or an article that is in no other. A wrapper that they mark hides what is in
+    it, unless all main landmarks of the page (all articles, if it has none) are in such wrappers: those around them are
+    then layout.
+    """
+    out: list[tuple[str, int, tuple[int, ...]]] = []
+    marked: tuple[int, ...] = ()  # open wrappers that class or id mark, by number
+    wrappers, tops = 0, {CONTENT: [], MAIN: []}  # and those around each outermost landmark
     parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements: name, whether they hide, their sort if they are landmarks
+    # Open elements: name, whether they hide, their sort if they are landmarks, whether they are marked.
+    stack: list[tuple[str, bool, int, bool]] = []
     hides = landmarks = mains = 0
     heading = in_header = 0
 
@@ -93,12 +112,13 @@ def lines(page: str) -> list[tuple[str, int]]:
                 sort = CHROME if hides else MAIN if mains else CONTENT if landmarks else OPEN
                 if sort >= CONTENT and in_header and not heading:
                     sort = CHROME
-                out.append((text, sort))
+                out.append((text, sort, marked))
 
     def pop_to(at: int) -> None:
-        nonlocal hides, landmarks, mains, heading, in_header
-        for name, hidden, landmark in stack[at:]:
+        nonlocal hides, landmarks, mains, marked, heading, in_header
+        for name, hidden, landmark, mark in stack[at:]:
             hides -= hidden
+            marked = marked[: len(marked) - mark]
             landmarks -= landmark > 0
             mains -= landmark == MAIN
             heading -= name in HEADING
@@ -148,19 +168,30 @@ def lines(page: str) -> list[tuple[str, int]]:
             if ended and stack and stack[-1][0] in ended:
                 pop_to(len(stack) - 1)
         hidden = name in HIDDEN or name == "header" and not landmarks
-        hidden = hidden or name not in ("body", "html") and _marked(rest, not landmarks)
-        if not (block or hidden):
+        root = name in ("body", "html")
+        attributes = ATTRIBUTE.findall(rest) if "=" in rest or "hidden" in rest.lower() else []
+        hidden = hidden or not root and _hidden(attributes)
+        is_main = name == "main" or bool(attributes) and bool(MAIN_ROLE.search(rest))
+        bound = root or is_main or name == "article" and all(e[0] != "article" for e in stack)
+        mark = not (hidden or bound) and _marked(attributes, not landmarks)
+        if not (block or hidden or mark):
             continue  # inline elements need no place on the stack
-        is_main = name == "main" or bool(MAIN_ROLE.search(rest))
-        landmark = 0 if hidden else MAIN if is_main else CONTENT if name in LANDMARK else 0
-        stack.append((name, hidden, landmark))
+        landmark = 0 if hidden or mark else MAIN if is_main else CONTENT if name in LANDMARK else 0
+        if landmark and not hides and not (mains if landmark == MAIN else landmarks):
+            tops[landmark].append(marked)
+        stack.append((name, hidden, landmark, mark))
+        if mark:
+            wrappers += 1
+            marked = (*marked, wrappers)
         hides += hidden
         landmarks += landmark > 0
         mains += landmark == MAIN
         heading += name in HEADING
         in_header += name == "header"
     flush()
-    return out
+    around = tops[MAIN] or tops[CONTENT]
+    layout = set().union(*around) if all(around) else set()
+    return [(text, sort if layout.issuperset(within) else CHROME) for text, sort, within in out]
 
 
 def hash_text(text: str) -> int:
