@@ -70,6 +70,22 @@ def test_class_words_hide_no_landmark_or_its_wrapper(html):
     assert pages.main_text(made, None)[0] == "text"
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<head><title>t</title><meta charset=utf-8><body><p>text", "text"),
+        ("<head><title>t</title><p>text</p>", "text"),
+        ("<head><noscript><img src=x><body>text", "text"),
+        ("<head><meta charset=utf-8>text<p>more", "text\nmore"),
+        ("<div>Main sentence <noscript><div>x</div></noscript></div>", "Main sentence"),
+        ("<article><p>Text <button>Share</button></p></article>", "Text"),
+        ("<article><p>Text <span class=ad>buy <span>it</span> now</span> goes <b>on</b></p></article>", "Text goes on"),
+    ],
+)
+def test_hidden_elements_end_where_they_should(html, text):
+    assert pages.main_text(html, None)[0] == text
+
+
 def test_a_body_outside_the_teasers_stays(spark):
     def made(i):
         return f"<body><p>Home<article>teaser</article><div><p>story {i}<p>more {i}</div><p>All rights reserved</body>"

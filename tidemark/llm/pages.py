@@ -28,6 +28,7 @@ CHROME, OPEN, CONTENT, MAIN = 0, 1, 2, 3
 
 # HTML's element names by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 HIDDEN = frozenset("head nav footer aside form template noscript iframe svg math object select button dialog menu canvas".split())
 LANDMARK = frozenset("article main".split())
@@ -98,21 +99,27 @@ def lines(page: str) -> list[tuple[str, int]]:
     out: list[tuple[str, int, tuple[int, ...]]] = []
     marked: tuple[int, ...] = ()  # open wrappers that class or id mark, by number
     wrappers, tops = 0, {CONTENT: [], MAIN: []}  # and those around each outermost landmark
-    parts: list[str] = []
+    parts: list[tuple[str, int, tuple[int, ...]]] = []  # of the open block, each as it stood where it came
     # Open elements: name, whether they hide, their sort if they are landmarks, whether they are marked.
     stack: list[tuple[str, bool, int, bool]] = []
     hides = landmarks = mains = 0
     heading = in_header = 0
 
+    def add(text: str) -> None:
+        sort = CHROME if hides else MAIN if mains else CONTENT if landmarks else OPEN
+        if sort >= CONTENT and in_header and not heading:
+            sort = CHROME
+        parts.append((text, sort, marked))
+
     def flush() -> None:
-        if parts:
-            text = SPACES.sub(" ", entities.unescape("".join(parts))).strip()
-            parts.clear()
+        alike: dict[tuple[int, tuple[int, ...]], list[str]] = {}
+        for text, *state in parts:
+            alike.setdefault(tuple(state), []).append(text)
+        parts.clear()
+        for state, texts in alike.items():
+            text = SPACES.sub(" ", entities.unescape("".join(texts))).strip()
             if text:
-                sort = CHROME if hides else MAIN if mains else CONTENT if landmarks else OPEN
-                if sort >= CONTENT and in_header and not heading:
-                    sort = CHROME
-                out.append((text, sort, marked))
+                out.append((text, *state))
 
     def pop_to(at: int) -> None:
         nonlocal hides, landmarks, mains, marked, heading, in_header
@@ -130,7 +137,9 @@ def lines(page: str) -> list[tuple[str, int]]:
         match = TOKEN.search(page, at)
         text = page[at : match.start() if match else len(page)]
         if text:
-            parts.append(text)
+            if stack and stack[-1][0] == "head" and not text.isspace():
+                pop_to(len(stack) - 1)
+            add(text)
         if not match:
             break
         at = match.end()
@@ -139,10 +148,16 @@ def lines(page: str) -> list[tuple[str, int]]:
             continue
         name = name.lower()
         block = name in BLOCK
+        if stack and not match["close"] and name not in IN_HEAD:
+            # The head's end tag may be left out: it ends at the body, or at the first element that it cannot hold.
+            if name == "body":
+                pop_to(next((k for k, e in enumerate(stack) if e[0] == "head"), len(stack)))
+            elif stack[-1][0] == "head":
+                pop_to(len(stack) - 1)
         if block:
             flush()
         elif name == "br":
-            parts.append(" ")
+            add(" ")
         if match["close"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
@@ -174,8 +189,8 @@ def lines(page: str) -> list[tuple[str, int]]:
         is_main = name == "main" or bool(attributes) and bool(MAIN_ROLE.search(rest))
         bound = root or is_main or name == "article" and all(e[0] != "article" for e in stack)
         mark = not (hidden or bound) and _marked(attributes, not landmarks)
-        if not (block or hidden or mark):
-            continue  # inline elements need no place on the stack
+        if not (block or hidden or mark or any(e[0] == name for e in stack)):
+            continue  # inline elements need no place on the stack, unless their end could be taken for that of a hidden one
         landmark = 0 if hidden or mark else MAIN if is_main else CONTENT if name in LANDMARK else 0
         if landmark and not hides and not (mains if landmark == MAIN else landmarks):
             tops[landmark].append(marked)
