@@ -77,3 +77,36 @@ SELECT conv_id, count(*) AS n_turns,
   sum(length(escaped) + CASE WHEN before = role THEN 11 ELSE 24 + length(role) END)::BIGINT AS formatted_chars
 FROM seen GROUP BY conv_id
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op12_collocations"] = rf"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM texts
+), listed AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces
+), grams AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM listed, (VALUES (1), (2), (3), (4)) sizes(k) WHERE len(ws) >= k)
+  GROUP BY ALL
+), totals AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS ws FROM grams WHERE f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, cut, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k > 1) c
+  JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1 : cut], ' ')
+  JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[cut + 1 : c.k], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM often WHERE k > 2)) GROUP BY ALL
+)
+SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank, c.phrase, a, l, r,
+  t.n::BIGINT AS n, score::BIGINT AS score
+FROM lowest c JOIN totals t USING (lang) LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+WHERE i.longer IS NULL OR 100 * i.longer < 80 * a
+QUALIFY rank <= 2000
+"""

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, fingerprints, minhash, packing, pages, pieces, pii, quality, secret_scan, vectors
+from tidemark.llm import (
+    chat,
+    collocations,
+    fingerprints,
+    minhash,
+    packing,
+    pages,
+    pieces,
+    pii,
+    quality,
+    secret_scan,
+    toxicity,
+    vectors,
+    whitening,
+)
 from tidemark.session import cut_lineage
 
 #: Where the vocabulary files are; a parameter, as they are not part of this repository.
@@ -102,6 +116,23 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op11_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    lexicon = toxicity.train(docs, _table(spark, sf, "labels"))
+    scored = docs.select("doc_id", toxicity.score(docs, F.col("text"), lexicon).alias("score"))
+    predicted = (F.col("score") >= toxicity.TOXIC_FROM).cast("int")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    made = whitening.whiten(_table(spark, sf, "embeddings"))
+    return made.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -119,5 +150,8 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op11_toxicity": op11_toxicity,
+    "op12_collocations": op12_collocations,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
