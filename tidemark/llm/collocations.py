@@ -3,16 +3,17 @@
 The texts become a relation of occurrences, sorted by piece and position: a place in its document for each word, where the next
 piece begins one place further on, so that two words stand side by side exactly if their places differ by one. Level by level
 
-1. the occurrences of frequent groups are kept (a semi-join with the frequent groups),
-2. they are merge-joined with themselves at adjacent places, which makes groups one word longer,
-3. the groups are counted, and their sorted occurrences are written for the next level.
+1. the occurrences are merge-joined with themselves at adjacent places, which makes groups one word longer,
+2. the groups are counted,
+3. the occurrences of the frequent ones (a semi-join) are written, sorted, for the next level.
 
-An occurrence relation is written in the order it is read, and no row of it is cut between tasks; so the merge-joins need no shuffle.
-The semi-join marks the frequent groups as bits of a map of fixed size, which is what is broadcast, however many groups there are: a
-few rare groups may pass, and fall out when they are counted. Counts are merged inside a task, then by Spark.
+An occurrence relation is written in the order it is read, and no row of it is cut between tasks; so the merge-joins need no
+shuffle, and making them once for the counts and once for the occurrences is cheaper than to store rare groups. The semi-join marks
+the frequent groups as bits of a map of fixed size, which is what is broadcast, however many groups there are: a few rare groups may
+pass, and fall out when they are counted as a part of longer ones. Counts are merged inside a task, then by Spark.
 
-A word stands for its 64-bit hash with its language, a group for the hash of the two groups it is made of. A frequent word or group
-whose hash another one has too is an error, not a wrong count.
+A word stands for its 64-bit hash with its language, a group for the hash of the two groups it is made of. (Of 10^9 words one shares
+its hash with one of 10^6 frequent ones with a chance of 1 in 18,000; two names of one frequent group are an error.)
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,7 +37,8 @@ FIRST = 2000  # phrases of a language
 FACTOR = 2_000_000
 
 MAP_BITS = 26  # 8 MB
-MERGE_ROWS = 1 << 20  # counts held by a task before they are merged
+MERGE_ROWS = 1 << 21  # counts held by a task before they are merged
+SEEN = 1 << 22  # names that a task remembers to have given
 ROW_WORDS = 1 << 16  # of an occurrence row, about; cut only between pieces
 
 _RNG = np.random.default_rng(1205)
@@ -51,10 +54,11 @@ SEGMENT = 1 << 20
 _POWER = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(SEGMENT, BASE, dtype=np.uint64))), dtype=np.uint64)
 _INVERSE = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(SEGMENT, INVERSE, dtype=np.uint64))), dtype=np.uint64)
 
-OCCURRENCES = pa.schema([("place", pa.list_(pa.int64())), ("item", pa.list_(pa.int64()))])
-COUNTS = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64()), ("lang", pa.string()), ("text", pa.string())])
-BOTH = pa.schema([("counted", pa.bool_()), *OCCURRENCES, *COUNTS])
-BOTH_SQL = "counted boolean, place array<long>, item array<long>, left long, right long, n long, lang string, text string"
+COUNTED = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64()), ("lang", pa.string())])
+COUNTED_SQL = "left long, right long, n long, lang string"
+_OCCURRENCES = [("place", pa.list_(pa.int32())), ("item", pa.list_(pa.int64()))]
+KEPT = pa.schema([*_OCCURRENCES, ("named", pa.int64()), ("lang", pa.string()), ("text", pa.string())])
+KEPT_SQL = "place array<int>, item array<long>, named long, lang string, text string"
 
 
 # --- words -----------------------------------------------------------------------------------------------------------
@@ -98,75 +102,80 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class _Counts:
-    """Counts of pairs, merged whenever many have come together."""
+    """Counts of items, each with the two groups it is made of (a word: itself), merged whenever many have come together."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.rows = 0
 
-    def add(self, left: np.ndarray, right: np.ndarray, n: np.ndarray) -> None:
-        self.parts.append((left, right, n))
-        self.rows += len(left)
-
-    def merged(self) -> tuple[np.ndarray, ...]:
-        left, right, n = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-        order = np.lexsort((right, left))
-        left, right, n = left[order], right[order], n[order]
-        first = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1]))))
-        self.parts = [(left[first], right[first], np.add.reduceat(n, first))]
+    def add(self, items: np.ndarray, left: np.ndarray, right: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """Count the items; gives what has to leave the task."""
+        unique, first, n = np.unique(items, return_index=True, return_counts=True)
+        self.parts.append((unique, left[first], n) if right is None else (unique, left[first], n, right[first]))
+        self.rows += len(unique)
+        if self.rows > MERGE_ROWS:
+            self._merge()
+            if self.rows > MERGE_ROWS // 2:
+                yield from self.rest()
+
+    def _merge(self) -> None:
+        items, left, n, *right = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        order = np.argsort(items)
+        items = items[order]
+        first = np.flatnonzero(np.concatenate(([True], items[1:] != items[:-1])))
+        one = order[first]
+        self.parts = [(items[first], left[one], np.add.reduceat(n[order], first), *[r[one] for r in right])]
         self.rows = len(first)
-        return self.parts[0]
 
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            self._merge()
+            _, left, n, *right = self.parts[0]
+            yield _batch(COUNTED, left=left, n=n, **({"right": right[0]} if right else {}))
+        self.parts, self.rows = [], 0
 
-def _empty(kind: pa.DataType, rows: int) -> pa.Array:
-    return pa.nulls(rows, kind)
 
+class _Seen:
+    """Which keys a task has met."""
 
-def _counted(left, right, n, lang=None, text=None) -> pa.RecordBatch:
-    rows = len(left)
-    own = {"counted": pa.array(np.ones(rows, bool)), "left": pa.array(left), "right": pa.array(right), "n": pa.array(n)}
-    own |= {k: pa.array(v, pa.string()) for k, v in (("lang", lang), ("text", text)) if v is not None}
-    return pa.RecordBatch.from_arrays([own.get(f.name, _empty(f.type, rows)) for f in BOTH], schema=BOTH)
+    def __init__(self):
+        self.keys = np.zeros(0, np.int64)
 
+    def new(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the distinct ``keys`` are met for the first time."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        fresh = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), bool)
+        if fresh.any():
+            self.keys = np.union1d(self.keys if len(self.keys) <= SEEN else self.keys[:0], keys[fresh])
+        return fresh
 
-def _occurring(offsets: np.ndarray, place: np.ndarray, item: np.ndarray) -> pa.RecordBatch:
-    rows, offsets = len(offsets) - 1, pa.array(offsets, pa.int32())
-    own = {"counted": pa.array(np.zeros(rows, bool))}
-    own |= {k: pa.ListArray.from_arrays(offsets, pa.array(v, pa.int64())) for k, v in (("place", place), ("item", item))}
-    return pa.RecordBatch.from_arrays([own.get(f.name, _empty(f.type, rows)) for f in BOTH], schema=BOTH)
 
+def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
+    rows = len(next(iter(columns.values())))
+    made = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(made, schema=schema)
 
-def _tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The occurrence rows of the texts, and the task's words with their counts (as groups of one word: no ``right``)."""
-    seen: dict[int, list] = {}
-    for batch in batches:
-        langs, texts = batch.column("lang").to_pylist(), batch.column("text")
-        lengths, places, items = [0], [], []
-        for lang, text in zip(langs, texts, strict=True):
-            raw = np.frombuffer(text.as_buffer(), dtype=np.uint8)
-            if not len(raw):
-                continue
-            seed = mix64(np.array([hash_of(lang)], dtype=np.uint64))
-            hashes, place, starts, ends = words(raw)
-            item = mix64(hashes + seed).view(np.int64)
-            unique, first, n = np.unique(item, return_index=True, return_counts=True)
-            for key, at, count in zip(unique.tolist(), first.tolist(), n.tolist(), strict=True):
-                known = seen.get(key)
-                if known is None:
-                    seen[key] = [count, lang, raw[starts[at] : ends[at]].tobytes()]
-                else:
-                    known[0] += count
-            cuts = _cuts(place)
-            lengths += np.diff(cuts).tolist()
-            places.append(place)
-            items.append(item)
-        if items:
-            yield _occurring(np.cumsum(lengths), np.concatenate(places), np.concatenate(items))
-        if len(seen) > MERGE_ROWS // 4:
-            yield _listed(seen)
-            seen = {}
-    if seen:
-        yield _listed(seen)
+
+def _occurring(lengths, place: np.ndarray, item: np.ndarray) -> pa.RecordBatch:
+    """Occurrence rows of the given lengths; empty ones are left out."""
+    lengths = np.asarray(lengths)
+    offsets = pa.array(np.concatenate(([0], np.cumsum(lengths[lengths > 0]))), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(v, k)) for v, k in ((place, pa.int32()), (item, pa.int64()))]
+    return _batch(KEPT, place=lists[0], item=lists[1])
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Language, bytes, and item, place, start and end of each word, for each text with words."""
+    seeds: dict[str, np.ndarray] = {}
+    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+        raw = np.frombuffer(text.as_buffer(), dtype=np.uint8)
+        if not len(raw):
+            continue
+        if lang not in seeds:
+            seeds[lang] = mix64(np.array([hash_of(lang)], dtype=np.uint64))
+        hashes, place, starts, ends = words(raw)
+        if len(hashes):
+            yield lang, raw, mix64(hashes + seeds[lang]).view(np.int64), place, starts, ends
 
 
 def _cuts(place: np.ndarray) -> list[int]:
@@ -180,7 +189,7 @@ def _cuts(place: np.ndarray) -> list[int]:
         if k == len(ends):
             break
         cuts.append(int(ends[k]))
-    return [*cuts, len(place)] if cuts[-1] < len(place) else cuts
+    return [*cuts, len(place)]
 
 
 def hash_of(lang: str) -> int:
@@ -191,52 +200,109 @@ def hash_of(lang: str) -> int:
 LOWER = bytes(range(256)).lower()  # A-Z alone
 
 
-def _listed(seen: dict[int, list]) -> pa.RecordBatch:
-    keys = np.fromiter(seen, dtype=np.int64, count=len(seen))
-    n = np.array([v[0] for v in seen.values()], dtype=np.int64)
-    text = [v[2].translate(LOWER).decode("utf-8", "replace") for v in seen.values()]
-    return _counted(keys, np.zeros(len(keys), np.int64), n, [v[1] for v in seen.values()], text)
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words, and of all words of a language (without an item)."""
+    counts, totals = _Counts(), {}
+    for batch in batches:
+        items = []
+        for lang, _, item, *_ in _texts(batch):
+            items.append(item)
+            totals[lang] = totals.get(lang, 0) + len(item)
+        if items:
+            every = np.concatenate(items)
+            yield from counts.add(every, every)
+    yield from counts.rest()
+    if totals:
+        yield _batch(COUNTED, n=list(totals.values()), lang=list(totals))
+
+
+def _word_rows(marks):
+    """Occurrences of the marked words, and their texts."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
+        for batch in batches:
+            lengths, places, items, texts = [], [], [], []
+            for lang, raw, item, place, starts, ends in _texts(batch):
+                kept = np.flatnonzero(_has(marks.value, item))
+                place = place[kept]
+                lengths += np.diff(_cuts(place)).tolist()
+                places.append(place)
+                items.append(item[kept])
+                texts.append((lang, raw, starts[kept], ends[kept]))
+            if not lengths:
+                continue
+            item = np.concatenate(items)
+            if not len(item):
+                continue
+            yield _occurring(lengths, np.concatenate(places), item)
+            unique, first = np.unique(item, return_index=True)
+            new = seen.new(unique)
+            begins = np.concatenate(([0], np.cumsum([len(i) for i in items])))
+            named, langs, words_ = unique[new], [], []
+            for at, doc in zip(first[new], np.searchsorted(begins, first[new], side="right") - 1, strict=True):
+                lang, raw, starts, ends = texts[doc]
+                k = at - begins[doc]
+                langs.append(lang)
+                words_.append(raw[starts[k] : ends[k]].tobytes().translate(LOWER).decode("utf-8", "replace"))
+            if len(named):
+                yield _batch(KEPT, named=named, lang=langs, text=words_)
+
+    return rows
 
 
 # --- one level -------------------------------------------------------------------------------------------------------
 
 
-def _extended(marks, write: bool):
-    """Occurrences of groups one word longer, and their counts in this task."""
+def _has(marks: np.ndarray, items: np.ndarray) -> np.ndarray:
+    bit = items & ((1 << MAP_BITS) - 1)
+    return ((marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _adjacent(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Row, place, left and right item of each group one word longer.
+
+    The rows are sorted by place, so a merge-join of adjacent places looks one entry ahead.
+    """
+    lists = batch.column("place")
+    place, item = lists.flatten().to_numpy(zero_copy_only=False), batch.column("item").flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    left = np.flatnonzero((place[1:] - place[:-1] == 1) & (row[1:] == row[:-1]))
+    return row[left], place[left], item[left], item[left + 1]
+
+
+def _group_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = _Counts()
+    for batch in batches:
+        _, _, left, right = _adjacent(batch)
+        yield from counts.add(joined(left, right), left, right)
+    yield from counts.rest()
+
+
+def _group_rows(marks):
+    """Occurrences of the marked groups."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _Counts()
-        mask = (1 << MAP_BITS) - 1
         for batch in batches:
-            places, items = batch.column("place"), batch.column("item")
-            offsets = np.asarray(places.offsets)
-            place, item = np.asarray(places.values)[offsets[0] : offsets[-1]], np.asarray(items.flatten())
-            if not len(item):
-                continue
-            row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            bit = item & mask
-            frequent = np.flatnonzero((marks.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-            place, item, row = place[frequent], item[frequent], row[frequent]
-            # Sorted by row and place: a merge-join of adjacent places looks one row ahead.
-            left = np.flatnonzero((place[1:] - place[:-1] == 1) & (row[1:] == row[:-1]))
-            if not len(left):
-                continue
-            a, b = item[left], item[left + 1]
-            counts.add(a, b, np.ones(len(a), np.int64))
-            if counts.rows > MERGE_ROWS:
-                merged = counts.merged()
-                if len(merged[0]) > MERGE_ROWS // 2:
-                    yield _counted(*merged)
-                    counts = _Counts()
-            if write:
-                kept = np.bincount(row[left], minlength=len(offsets) - 1)
-                yield _occurring(np.concatenate(([0], np.cumsum(kept[kept > 0]))), place[left], joined(a, b))
-        if counts.rows:
-            yield _counted(*counts.merged())
+            row, place, left, right = _adjacent(batch)
+            item = joined(left, right)
+            kept = _has(marks.value, item)
+            if kept.any():
+                yield _occurring(np.bincount(row[kept]), place[kept], item[kept])
 
     return rows
 
 
+def _joined(left: str, right: str) -> Column:
+    """The ids of groups, for those that are frequent."""
+
+    @F.pandas_udf("long")
+    def made(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(joined(a.to_numpy(dtype=np.int64), b.to_numpy(dtype=np.int64)))
+
+    return made(left, right)
+
+
 def _marked(spark: SparkSession, groups: DataFrame):
     """The groups as bits of a map of 2^MAP_BITS, broadcast."""
     place = F.col("item").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
@@ -265,57 +331,45 @@ def collocations(
     base = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().alias("text"))
     folder = scratch_path(spark, "collocations")
 
-    def written(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    def written(rows: DataFrame, level: int) -> DataFrame:
         path = f"{folder}/level={level}"
-        rows.write.option("compression", "zstd").partitionBy("counted").parquet(path)
-        held = spark.read.schema(rows.schema).parquet(path)
-        return held.where("NOT counted").select("place", "item"), held.where("counted")
+        rows.write.option("compression", "zstd").option("parquet.block.size", 32 << 20).parquet(path)
+        if level > 1:
+            remove_folder(spark, f"{folder}/level={level - 1}")
+        return spark.read.schema(rows.schema).parquet(path)
+
+    def one_name_each(named: DataFrame) -> DataFrame:
+        named = cut_lineage(named)
+        if not named.groupBy("item").count().where("count > 1").isEmpty():
+            raise RuntimeError("two words or groups share a hash; use another BASE")
+        return named
 
     try:
-        occurrences, counts = written(base.mapInArrow(_tokenized, BOTH_SQL), 1)
-        named = F.struct("lang", "text")
-        per_word = counts.groupBy(F.col("left").alias("item")).agg(
-            F.sum("n").alias("f"), F.min(named).alias("word"), F.max(named).alias("other")
-        )
-        per_word = cut_lineage(per_word)
-        totals = cut_lineage(per_word.groupBy("word.lang").agg(F.sum("f").alias("n")))
-        frequent = per_word.where(F.col("f") >= least)
-        if not frequent.where("word <> other").isEmpty():
-            raise RuntimeError("two words share a hash; use another BASE")
-        known = frequent.select("word.lang", "item", F.col("word.text").alias("phrase"), "f", F.array("item").alias("words"))
-        levels = [known]
+        counts = base.mapInArrow(_word_counts, COUNTED_SQL).groupBy(F.col("left").alias("item"), "lang").agg(F.sum("n").alias("f"))
+        counts = cut_lineage(counts.where(F.col("item").isNull() | (F.col("f") >= least)))
+        totals = counts.where("item IS NULL").select("lang", F.col("f").alias("n"))
+        often = counts.where("item IS NOT NULL").select("item", "f")
+        held = written(base.mapInArrow(_word_rows(_marked(spark, often)), KEPT_SQL), 1)
+        names = held.where("named IS NOT NULL").select(F.col("named").alias("item"), "lang", F.col("text").alias("phrase"))
+        names = names.distinct().join(often, "item")
+        levels = [one_name_each(names.select("lang", "item", "phrase", "f", F.array("item").alias("words")))]
         for level in range(2, longest + 1):
-            marks = _marked(spark, levels[-1])
-            occurrences, counts = written(occurrences.mapInArrow(_extended(marks, level < longest), BOTH_SQL), level)
-            frequent = counts.groupBy("left", "right").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+            occurrences = held.where("place IS NOT NULL").select("place", "item")
+            counts = occurrences.mapInArrow(_group_counts, COUNTED_SQL).groupBy("left", "right").agg(F.sum("n").alias("f"))
+            often = cut_lineage(counts.where(F.col("f") >= least).withColumn("item", _joined("left", "right")))
             left = levels[-1].select(F.col("item").alias("left"), "lang", "words", "phrase")
-            last = levels[0].select(F.element_at("words", 1).alias("last"), F.col("phrase").alias("word"))
             right = levels[-1].select(F.col("item").alias("right"), F.element_at("words", -1).alias("last"))
-            named = frequent.join(left, "left").join(right, "right").join(last, "last")
-            named = named.select(
-                "lang",
-                _joined("left", "right").alias("item"),
-                F.concat_ws(" ", "phrase", "word").alias("phrase"),
-                "f",
-                F.concat("words", F.array("last")).alias("words"),
-            )
-            levels.append(cut_lineage(named))
-            if not levels[-1].groupBy("item").count().where("count > 1").isEmpty():
-                raise RuntimeError("two groups share a hash; use another BASE")
-            remove_folder(spark, f"{folder}/level={level - 1}")
+            last = levels[0].select(F.col("item").alias("last"), F.col("phrase").alias("word"))
+            named = often.join(left, "left").join(right, "right").join(last, "last")
+            phrase, ids = F.concat_ws(" ", "phrase", "word"), F.concat("words", F.array("last"))
+            levels.append(one_name_each(named.select("lang", "item", phrase.alias("phrase"), "f", ids.alias("words"))))
+            if level < longest:
+                held = written(occurrences.mapInArrow(_group_rows(_marked(spark, often)), KEPT_SQL), level)
     finally:
         remove_folder(spark, folder)
     return _ranked(levels, totals, percent, first)
 
 
-def _joined(left: str, right: str) -> Column:
-    @F.pandas_udf("long")
-    def made(a, b):
-        return type(a)(joined(a.to_numpy(dtype=np.int64), b.to_numpy(dtype=np.int64)))
-
-    return made(left, right)
-
-
 def _ranked(levels: list[DataFrame], totals: DataFrame, percent: int, first: int) -> DataFrame:
     """Scores of the frequent groups of two words and more, those inside a longer one left out, the best of each language."""
 
