@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from typing import Any
 from urllib.parse import quote
 
@@ -19,7 +19,8 @@ from ..session import staging
 from ..sinks.files import CHANGELOG_CODEC, write_csv, write_parquet
 from ..sinks.jdbc import append_jdbc, replace_jdbc
 from ..sources.storage import stored_size
-from .store import SnapshotStore, Version, mark_batch, publish_snapshot, read_version, version_of_batch, versions
+from . import journal
+from .store import SnapshotStore, Version, batch_result, mark_batch, publish_snapshot, read_version, versions
 from .sync import SyncResult
 
 # The operation names the changelog carries per plan. A reconciled row carries its own.
@@ -132,13 +133,15 @@ def export_to_store(
     """Clean, write by plan into a stored Parquet table, and record the changelog of the job: one commit.
 
     The table is a version of ``store`` without tags. A job that failed half-way is run again under its id: its version did
-    not count, and its changelog is replaced.
+    not count, and its changelog is replaced. A job that is done is not: running it again changes neither table nor changelog and
+    gives the result it had.
     """
     spark = snapshot.sparkSession
+    if (done := batch_result(spark, store, job_id)) is not None:
+        return SyncResult(**done)
     before = versions(spark, store)
-    done = version_of_batch(spark, store, job_id)
-    before = [v for v in before if done is None or v.number < done]
-    version = done or (before[-1].number + 1 if before else 1)
+    version = before[-1].number + 1 if before else 1
+    journal.begin(spark, store.base, job_id, {"version": version, "now": str(now)})
     target = read_version(spark, store, before[-1]) if before else None
     seen = Observation()
     with staging(spark) as stage:
@@ -149,11 +152,12 @@ def export_to_store(
         def record(written: Version) -> None:
             if changelog_path:
                 append_changelog(export.changelog, changelog_path, job_id)
-            mark_batch(spark, store, written, job_id)
+            size = stored_size(spark, store.version_path(*written))
+            mark_batch(spark, store, written, job_id, asdict(SyncResult(version, dict(seen.get), size)))
 
         observed = export.target.observe(seen, F.count("*").alias("rows"))
-        written = publish_snapshot(observed, store, version, before_commit=record)
-    return SyncResult(version, dict(seen.get), stored_size(spark, store.version_path(*written)))
+        publish_snapshot(observed, store, version, before_commit=record)
+    return SyncResult(**batch_result(spark, store, job_id))
 
 
 def export_to_csv(

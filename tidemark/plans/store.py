@@ -4,14 +4,15 @@ Layout: ``<base>/v00000001`` (``-b<count>-<digest of the keys>`` appended when b
 ``<base>/history/sync=00000001``. A version counts
 once its ``_SUCCESS`` marker is there, which is created last of all, after the sync's history: a job that dies half-way
 leaves the earlier version in place, and history beyond the latest complete version does not count. The latest two are kept.
-A version that a stream made carries an empty ``_batch-<stream>-<number>`` file, by which a batch that runs again finds it.
+A version that a job made carries a ``_batch-<job>`` file with the job's result. When it is removed, the journal has the result.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -24,7 +25,8 @@ from pyspark.sql import types as T
 from ..functions import TIMESTAMP, col, quote
 from ..session import overridden
 from ..sinks.files import MARKS_SUCCESS, SNAPSHOT_CODEC, rows_per_file, write_parquet
-from ..sources.storage import folders, path_exists, remove_folder, touch
+from ..sources.storage import entries, folders, path_exists, read_text, remove_folder, touch, write_text
+from . import journal
 
 
 @dataclass(frozen=True)
@@ -115,19 +117,42 @@ def publish_snapshot(
     numbers = sorted({v.number for v in known if v.number <= version})[-keep:]
     for old in known:
         if old.number < numbers[0] or (old.number == version and old != written):
+            _enter_jobs(spark, store, old)
             remove_folder(spark, store.version_path(*old))
     return written
 
 
-def mark_batch(spark: SparkSession, store: SnapshotStore, version: Version, batch: str) -> None:
-    """Note which batch of which stream made a version."""
-    touch(spark, f"{store.version_path(*version)}/_batch-{batch}")
+def mark_batch(spark: SparkSession, store: SnapshotStore, version: Version, batch: str, result: Mapping[str, Any]) -> None:
+    """Note which job made a version, and what it did."""
+    write_text(spark, f"{store.version_path(*version)}/{_mark(batch)}", json.dumps({"batch": batch, "result": dict(result)}))
 
 
-def version_of_batch(spark: SparkSession, store: SnapshotStore, batch: str) -> int | None:
-    """The complete version that a batch made, if it is still kept."""
-    marked = [v.number for v in versions(spark, store) if path_exists(spark, f"{store.version_path(*v)}/_batch-{batch}")]
-    return max(marked, default=None)
+def _mark(batch: str) -> str:
+    return f"_batch-{journal.job_name(batch)}"
+
+
+def batch_result(spark: SparkSession, store: SnapshotStore, batch: str) -> dict[str, Any] | None:
+    """The result of a job that is done, from the journal or from the version it made."""
+    known = journal.outcome(spark, store.base, batch)
+    if known is not None:
+        return known
+    for version in reversed(versions(spark, store)):
+        text = read_text(spark, f"{store.version_path(*version)}/{_mark(batch)}")
+        if text:
+            result = json.loads(text)["result"]
+            journal.finish(spark, store.base, batch, result)
+            return result
+    return None
+
+
+def _enter_jobs(spark: SparkSession, store: SnapshotStore, version: Version) -> None:
+    """Before a version goes: have its jobs in the journal."""
+    path = store.version_path(*version)
+    for entry in entries(spark, path):
+        text = read_text(spark, f"{path}/{entry.name}") if entry.name.startswith("_batch-") else None
+        if text:
+            told = json.loads(text)
+            journal.finish(spark, store.base, told["batch"], told["result"])
 
 
 def version_time(spark: SparkSession, store: SnapshotStore, version: Version) -> Any:
@@ -168,13 +193,14 @@ def remove_history(spark: SparkSession, store: SnapshotStore, version: int) -> N
     remove_folder(spark, f"{store.history_path}/sync={version:08d}")
 
 
-def read_history(spark: SparkSession, store: SnapshotStore) -> DataFrame | None:
+def read_history(spark: SparkSession, store: SnapshotStore, latest: int | None = None) -> DataFrame | None:
     """All recorded changes of complete syncs; columns that came later are NULL in earlier rows.
 
     Each sync keeps the types it was written with. A column whose type changed comes in the widest of its types if all are
-    numbers, else as text, so that no value is lost.
+    numbers, else as text, so that no value is lost. ``latest`` is the latest complete version, if the caller knows it.
     """
-    latest = max((v.number for v in versions(spark, store)), default=0)
+    if latest is None:
+        latest = max((v.number for v in versions(spark, store)), default=0)
     found = [n for n in folders(spark, store.history_path) if int(n.removeprefix("sync=")) <= latest]
     if not found:
         return None

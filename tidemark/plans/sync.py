@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 from operator import and_
 from typing import Any
@@ -17,14 +17,15 @@ from ..operators.history import history_changes
 from ..operators.metrics import metric_columns
 from ..operators.projection import Spec, project, tag_snapshot, with_row_hash
 from ..sources.storage import stored_size
+from . import journal
 from .store import (
     SnapshotStore,
     Version,
+    batch_result,
     mark_batch,
     publish_snapshot,
     read_version,
     remove_history,
-    version_of_batch,
     version_time,
     versions,
     write_history,
@@ -89,25 +90,30 @@ def sync_table(
     a sync that failed half-way is simply run again. The compare runs once: counts are observed during the write, and the
     history is taken from the written version.
 
-    ``batch`` names the sync (a stream's batch, say): run again, it replaces its own version. ``version`` does the same by
-    number; one below the latest is an error. So is a ``now`` before the latest version's, unless it is that version's
+    ``batch`` names the sync (a stream's batch, say). Once it is done, running it again does nothing and gives the result it had,
+    also when later syncs have replaced its version. ``version`` replaces a version by number; one below the latest is an error. So is a ``now`` before the latest version's, unless it is that version's
     own repeat; with ``stale="skip"`` nothing is written then and the status says so.
     """
     if stale not in ("error", "skip"):
         raise ValueError(f"stale is 'error' or 'skip': {stale!r}")
     spark = source.sparkSession
+    if batch is not None and (done := batch_result(spark, store, batch)) is not None:
+        return SyncResult(**done)
     known = versions(spark, store)
     latest = known[-1].number if known else 0
-    if version is None and batch is not None:
-        version = version_of_batch(spark, store, batch)
     version = version or latest + 1
     if version < latest:
         raise ValueError(f"version {version} is below the latest, {latest}")
     before = [v for v in known if v.number < version]
     if before and _is_earlier(spark, now, version_time(spark, store, before[-1])):
         if stale == "skip":
-            return SyncResult(latest, {}, status="skipped")
+            skipped = SyncResult(latest, {}, status="skipped")
+            if batch is not None:
+                journal.finish(spark, store.base, batch, asdict(skipped))
+            return skipped
         raise ValueError(f"the sync's time {now} is before that of version {before[-1].number}")
+    if batch is not None:
+        journal.begin(spark, store.base, batch, {"version": version, "now": str(now)})
     previous = read_version(spark, store, before[-1]) if before else None
     compared = bool(keys) and previous is not None
     projected, arrived = project(source, mappings, schema, exact), Observation()
@@ -124,16 +130,21 @@ def sync_table(
         else:
             remove_history(spark, store, version)
         if batch is not None:
-            mark_batch(spark, store, written, batch)
+            mark_batch(spark, store, written, batch, asdict(told(written)))
+
+    def told(written: Version) -> SyncResult:
+        counts = dict(seen.get) | {"null_key_rows": 0, "repeated_key_rows": 0}
+        if compared:
+            met = arrived.get
+            counts["null_key_rows"] = met["all"] - met["keyed"]
+            counts["repeated_key_rows"] = met["keyed"] - (counts["rows"] - counts["delete_rows"])
+        return SyncResult(version, counts, stored_size(spark, store.version_path(*written)))
 
     observed = rows.observe(seen, *metric_columns())
-    written = publish_snapshot(observed, store, version, unique=compared, before_commit=record)
-    counts = dict(seen.get) | {"null_key_rows": 0, "repeated_key_rows": 0}
-    if compared:
-        met = arrived.get
-        counts["null_key_rows"] = met["all"] - met["keyed"]
-        counts["repeated_key_rows"] = met["keyed"] - (counts["rows"] - counts["delete_rows"])
-    return SyncResult(version, counts, stored_size(spark, store.version_path(*written)))
+    result = told(publish_snapshot(observed, store, version, unique=compared, before_commit=record))
+    if batch is not None:
+        result = SyncResult(**batch_result(spark, store, batch))
+    return result
 
 
 def _is_earlier(spark: SparkSession, now: Any, then: Any) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
@@ -72,3 +73,31 @@ def stored_size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path``, from the file system alone."""
     fs, p = _open(spark, path)
     return fs.getContentSummary(p).getLength()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all; one of that name that is there already stays."""
+    fs, p = _open(spark, path)
+    if fs.exists(p):
+        return
+    fs.mkdirs(p.getParent())
+    part = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, p) and not fs.exists(p):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What :func:`write_text` wrote, or None."""
+    fs, p = _open(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

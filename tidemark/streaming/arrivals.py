@@ -42,8 +42,8 @@ def stream_sync(
 ) -> StreamingQuery:
     """Sync each file that arrived in ``in_dir``: a file is one complete snapshot, a key missing from it is a DELETE.
 
-    A version carries the name of its batch, so a batch that runs again after a failure replaces its own output, and a stream
-    that lost its checkpoint adds versions to those there are. Ends when all files present are done. For snapshots of more
+    A sync carries the name of its batch, so a batch that is done and runs again after a failure does nothing, and a stream that
+    lost its checkpoint adds versions to those there are. Ends when all files present are done. For snapshots of more
     than one file use :func:`stream_jobs`.
     """
 
@@ -77,7 +77,8 @@ def stream_jobs(
 
     Only the job line passes through the stream; the snapshot it names is scanned by all executors, whatever its size.
     A job file holds a few jobs, which run in the order of their times. A job older than the latest snapshot would bring old
-    values back; it is skipped, and told to ``on_result`` as such, like every other result.
+    values back; it is skipped, and told to ``on_result`` as such, like every other result. When a batch runs again, the jobs of it
+    that are done do nothing and tell the results they had.
     """
 
     def one_batch(jobs: DataFrame, batch_id: int) -> None:
