@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import value_key
 from tidemark.operators import lineage, merge
 from tidemark.operators.partitions import partition_filter
 from tidemark.plans import outbound
@@ -46,17 +47,17 @@ def chain(spark, n):
     return spark.createDataFrame(rows, "id string, model_kind string, source_models array<string>")
 
 
-def test_jobs_grow_with_the_depth(spark):
+def test_jobs_grow_with_the_logarithm_of_the_depth(spark):
     tracker = spark.sparkContext.statusTracker()
     jobs = {}
     with overridden(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        for n in (5, 10):
+        for n in (12, 40):
             spark.sparkContext.setJobGroup(f"chain-{n}", "")
             got = dict(map(tuple, lineage.refresh_order(chain(spark, n), "m0").collect()))
             assert got == {f"m{i}": i for i in range(1, n + 1)}
             jobs[n] = len(tracker.getJobIdsForGroup(f"chain-{n}"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert jobs[10] <= 2.2 * jobs[5]
+    assert jobs[40] <= 1.4 * jobs[12]
 
 
 def test_cycles_are_errors(spark):
@@ -82,8 +83,9 @@ def test_bulk_extracts_keep_values(spark, tmp_path):
     assert read_extracts(spark, str(tmp_path), "rule", "two").dtypes == two.dtypes
     for value in VALUES:
         path = extract_path(str(tmp_path), "rule", value, "first one")
-        assert [r["v"] for r in spark.read.parquet(path).collect()] == [value]
-    write_partition({"first one": one.where("v = '7'")}, str(tmp_path), "rule", "7")
+        alike = [v for v in VALUES if v == value or (v and value and value_key(v) == value_key(value))]
+        assert [r["v"] for r in spark.read.parquet(path).collect()] == alike
+    write_partition({"first one": partition_filter(one, "v", "7")}, str(tmp_path), "rule", "7")
     assert read_extracts(spark, str(tmp_path), "rule", "first one").count() == len(VALUES)
 
 

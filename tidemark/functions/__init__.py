@@ -16,6 +16,7 @@ from .names import (
     unique_names,
     wildcard_to_regex,
 )
+from .numbers import number_key, number_key_column, value_key, value_key_column
 from .text import row_hash, text_form
 from .times import as_timestamp
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from decimal import Decimal
+from decimal import Decimal, localcontext
 from functools import reduce
 from hashlib import sha256
 
@@ -12,51 +12,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import col
+from ..functions import col, number_key, number_key_column, value_key, value_key_column
 from .cdc import live_rows
 
-_NUMERIC = re.compile(r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*")
-
 _LONGEST_NAME = 100
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]{1,100}")
 
 
+#: Name of the stored column that makes a partition filter reach the scan, see :func:`with_value_key`.
+KEY_PREFIX = "$_value_key "
+
+
 def _equals(value: Column, data_type: T.DataType, text: str) -> Column:
     """``value`` = ``text``, with the literal in the type of the column so that the filter reaches the scan."""
-    if not _NUMERIC.fullmatch(text):
-        return value == F.lit(text).cast(data_type)
-    number = Decimal(text.strip())
+    key = number_key(text)
+    if key is None:
+        return value == F.lit(text).try_cast(data_type)
     if isinstance(data_type, T.StringType):
-        # A numeric value compares as a number: 7 finds '7' and '007'.
-        return _same_number(value, number)
+        # A numeric value compares as a number, exactly: 7 finds '7', '007' and '7e0'.
+        return number_key_column(value) == key
     if isinstance(data_type, T.BooleanType):
-        return value == F.lit(number != 0)
-    if isinstance(data_type, T.IntegralType):
-        whole = number == number.to_integral_value() and abs(number) < 2**63
-        return value == F.lit(int(number)).try_cast(data_type) if whole else F.lit(False)
-    if isinstance(data_type, T.DecimalType):
-        return value == F.lit(number)
-    return value == F.lit(text.strip()).cast(data_type)
-
-
-def _same_number(value: Column, number: Decimal) -> Column:
-    """Whether a text is the number, by its digits: exact at any length. Texts with an exponent compare as decimals."""
-    sign, whole, rest = re.fullmatch(r"(-?)0*([0-9]*)(?:\.([0-9]*?)0*)?", format(number, "f")).groups(default="")
-    text = F.trim(value)
-    body = F.regexp_replace(text, "^[+-]", "")
-    same = (F.regexp_replace(F.substring_index(body, ".", 1), "^0+", "") == whole) & (
-        F.when(F.contains(body, F.lit(".")), F.regexp_replace(F.substring_index(body, ".", -1), "0+$", "")).otherwise("") == rest
-    )
-    if whole or rest:
-        same = same & (F.startswith(text, F.lit("-")) == F.lit(bool(sign)))
-    plain = value.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$")
-    limit = abs(number) < Decimal(10) ** 20 and number == round(number, 18)
-    scaled = value.try_cast("decimal(38,18)") == F.lit(number if limit else 0).cast("decimal(38,18)")
-    return F.when(plain, same).otherwise(scaled if limit else F.lit(False))
+        return value == F.lit(key != number_key("0"))
+    if isinstance(data_type, (T.IntegralType, T.DecimalType)):
+        number = Decimal(text.strip())
+        if not -40 <= number.adjusted() <= 40 and number:
+            return F.lit(False) & value.isNotNull()  # beyond every such type
+        with localcontext() as exact:
+            exact.prec = 200
+            places = data_type.scale if isinstance(data_type, T.DecimalType) else 0
+            fits = len(key) < 200 and number == round(number, places)
+            near = F.lit(format(round(number, places), "f")).try_cast(data_type)
+        return value == near if fits else F.lit(False) & value.isNotNull()
+    return value == F.lit(text.strip()).try_cast(data_type)
+
+
+def with_value_key(df: DataFrame, column: str) -> DataFrame:
+    """The rows with a column that tells the value of ``column`` in one form, numbers by their amount.
+
+    Stored with the rows it lets :func:`partition_filter` compare one text with one text, which is pushed to the scan, also where
+    ``column`` is text that spells numbers in several ways. It is a system column: it is not part of fingerprints.
+    """
+    return df.withColumn(KEY_PREFIX + column, value_key_column(col(column)))
 
 
 def partition_filter(df: DataFrame, column: str, value: str) -> DataFrame:
-    """Rows whose ``column`` equals ``value``; text that looks like a number compares as one."""
+    """Rows whose ``column`` equals ``value``; text that looks like a number compares as one, exactly."""
+    stored = KEY_PREFIX + column
+    if stored in df.columns and isinstance(df.schema[column].dataType, T.StringType):
+        return df.where(col(stored) == value_key(value))
     return df.where(_equals(col(column), df.schema[column].dataType, value))
 
 
@@ -79,9 +82,13 @@ def build_partition(
 
 
 def extract_name(value: str | None) -> str:
-    """A value as a folder name: itself if it is plain, else its bytes in hexadecimal digits, or their digest if too long."""
+    """A value as a folder name: a number's key, else the text if it is plain, else its bytes in hexadecimal digits, or their digest
+    if too long. So a folder holds what :func:`partition_filter` finds: ``7``, ``007`` and ``7e0`` share one."""
     if value is None:
         return "null"
+    key = number_key(value)
+    if key is not None:
+        return f"n-{key}" if len(key) <= _LONGEST_NAME else f"m-{sha256(key.encode()).hexdigest()}"
     if _PLAIN_NAME.fullmatch(value):
         return f"s-{value}"
     raw = value.encode()
@@ -91,9 +98,11 @@ def extract_name(value: str | None) -> str:
 def extract_column(value: Column) -> Column:
     """:func:`extract_name` of a column."""
     text = value.cast("string")
+    key = number_key_column(text)
+    number = F.when(F.length(key) <= _LONGEST_NAME, F.concat(F.lit("n-"), key)).otherwise(F.concat(F.lit("m-"), F.sha2(key, 256)))
     plain = text.rlike(f"^(?:{_PLAIN_NAME.pattern})$")
     short = F.concat(F.lit("x-"), F.hex(F.encode(text, "UTF-8")))
-    named = F.when(plain, F.concat(F.lit("s-"), text)).when(F.octet_length(text) <= _LONGEST_NAME, short)
+    named = F.when(key.isNotNull(), number).when(plain, F.concat(F.lit("s-"), text)).when(F.octet_length(text) <= _LONGEST_NAME, short)
     named = F.when(text.isNotNull(), named.otherwise(F.concat(F.lit("h-"), F.sha2(text, 256))))
     return F.coalesce(named, F.lit("null"))
 

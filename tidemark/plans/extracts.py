@@ -50,8 +50,8 @@ def build_all_partitions(
 ) -> dict[str, int]:
     """The extracts of every model for all values of ``column`` at once, where :func:`write_partition` would put them.
 
-    Folders are named after an encoded copy of the value; the column itself stays in the files, with its type, so that
-    ``'007'``, ``'7'``, the empty text and NULL stay apart. The rebalance gathers each value in few files and splits a value
+    Folders are named after an encoded copy of the value, numbers by their amount: a folder holds the rows that a single extract for
+    its value has (``'007'`` beside ``'7'``). The column itself stays in the files, with its type; the empty text and NULL stay apart. The rebalance gathers each value in few files and splits a value
     that is too large for one task. Models without data (None) are skipped. Returns the rows per table and ``total_rows``.
     """
     counts = {}
