@@ -7,6 +7,7 @@ LINES = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+COUNTED = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 PRIOR = "TIMESTAMP '2025-01-01 00:00:00'"
 NOW = "TIMESTAMP '2025-01-02 00:00:00'"
 
@@ -288,6 +289,33 @@ ORACLES: dict[str, str] = {
     "sync_stored_snapshot": f"{CDC} SELECT * FROM cdc",
     "sync_stored_history": f"{CDC} {HISTORY}",
     "stream_sync": f"{CDC} SELECT * FROM cdc",
+    "sync_stored_bucketed_delta": f"{CDC} SELECT * FROM cdc",
+    "sync_stored_bucketed_history": f"{CDC} {HISTORY}",
+    "sync_stored_bucketed_same": f"""{CDC} SELECT * REPLACE ('NO_CHANGE' AS "$_operation", TIMESTAMP '2025-01-03' AS "$_timestamp")
+        FROM cdc WHERE "$_operation" <> 'DELETE'""",
+    "stream_replay": f"{CDC} {HISTORY}",
+    "stream_snapshots": f"{CDC} SELECT * FROM cdc",
+    "hash_cdc_counted": f"""WITH c AS (SELECT {', '.join(COUNTED)}, {ref(COUNTED)} AS r, row_number() OVER (PARTITION BY {ref(COUNTED)}) AS k
+          FROM lineitem WHERE l_linenumber <> 1),
+        p AS (SELECT {', '.join(COUNTED)}, {ref(COUNTED)} AS r, row_number() OVER (PARTITION BY {ref(COUNTED)}) AS k
+          FROM lineitem WHERE l_linenumber <> 2),
+        cn AS (SELECT r, count(*) AS n FROM c GROUP BY r), pn AS (SELECT r, count(*) AS n FROM p GROUP BY r)
+        SELECT {', '.join(COUNTED)}, c.r AS "$_ref", 'INSERT' AS "$_operation",
+          CASE WHEN k <= n THEN {PRIOR} ELSE {NOW} END AS "$_timestamp", CASE WHEN k <= n THEN {PRIOR} ELSE {NOW} END AS "$_last_updated"
+        FROM c LEFT JOIN pn ON c.r = pn.r
+        UNION ALL
+        SELECT {', '.join(COUNTED)}, p.r, 'DELETE', {PRIOR}, {NOW} FROM p LEFT JOIN cn ON p.r = cn.r WHERE k > coalesce(n, 0)""",
+    "checksum_diff": f"""WITH {CURRENT}, {BEFORE}, a AS (SELECT {ref(ORDERS)} AS r, count(*) AS n FROM old GROUP BY r),
+        b AS (SELECT {ref(ORDERS)} AS r, count(*) AS n FROM cur GROUP BY r)
+        SELECT coalesce(a.r, b.r) AS "$_ref", coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows
+        FROM a FULL JOIN b ON a.r = b.r WHERE a.n IS DISTINCT FROM b.n""",
+    "model_join_range": """SELECT o_orderkey, s_suppkey, o_totalprice FROM orders JOIN supplier
+        ON o_totalprice >= s_acctbal * 40 AND o_totalprice <= CASE WHEN s_suppkey = 1 THEN 1e9 ELSE s_acctbal * 40 + 500 END""",
+    "partition_filter_numbers": """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN CAST(l_suppkey AS VARCHAR)
+        WHEN 1 THEN concat('00', l_suppkey) WHEN 2 THEN concat(l_suppkey, '0e-1') ELSE concat(l_suppkey, '.0') END AS supplier
+        FROM lineitem WHERE l_suppkey = 7""",
+    "export_rerun": f"""WITH {CURRENT}, {BEFORE} SELECT *, {LOG_NOW} FROM cur
+        UNION ALL SELECT *, {log_columns("'INSERT'", '2025-01-01T00:00:00.000Z', 'job-0')} FROM old""",
     "missing_rows": f"WITH {CURRENT}, {BEFORE} SELECT * FROM cur WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old)",
     "existing_rows": f"WITH {CURRENT}, {BEFORE} SELECT * FROM cur WHERE {KNOWN}",
     "sync_type_drift": f"{CDC} SELECT * REPLACE (CAST(o_custkey AS VARCHAR) AS o_custkey) FROM cdc",

@@ -13,12 +13,17 @@ from tidemark.functions import HASH_COLUMN, col, safe_cast, zero_date_to_null
 from tidemark.operators import cdc, changelog, export, history, keys, lineage, merge, metrics, partitions, projection
 from tidemark.operators.models import build_model
 from tidemark.plans import extracts, outbound, refresh
+from tidemark.plans.buckets import BucketStore, read_bucket_history, read_buckets, sync_buckets
+from tidemark.plans.checksums import checksum_diff as stored_checksum_diff
+from tidemark.plans.checksums import write_checksum_tree
 from tidemark.plans.store import Buckets, SnapshotStore, read_history, read_snapshot
 from tidemark.plans.sync import left_out_rows, sync_table
 from tidemark.session import scratch_path
 from tidemark.sinks.files import write_csv, write_parquet
 from tidemark.sources.files import read_csv, read_json, read_latest, read_source
+from tidemark.sources.storage import remove_folder
 from tidemark.streaming.arrivals import stream_jobs
+from tidemark.streaming.arrivals import stream_sync as stream_files
 
 PRIOR = "2025-01-01 00:00:00"
 NOW = "2025-01-02 00:00:00"
@@ -336,6 +341,20 @@ def model_join_full(spark: SparkSession, sf: str) -> DataFrame:
     return model(spark, sf, definition, "orders", "events")
 
 
+@query
+def model_join_range(spark: SparkSession, sf: str) -> DataFrame:
+    definition = {
+        "type": "join",
+        "from": "orders",
+        "select": ["o_orderkey", "s_suppkey", "o_totalprice"],
+        "joins": [{"type": "INNER", "table": "bands", "on": "o_totalprice BETWEEN band_low AND band_high"}],
+    }
+    bands = table(spark, sf, "supplier").selectExpr(
+        "s_suppkey", "s_acctbal * 40 AS band_low", "CASE WHEN s_suppkey = 1 THEN 1e9 ELSE s_acctbal * 40 + 500 END AS band_high"
+    )
+    return build_model(spark, definition, {"orders": table(spark, sf, "orders"), "bands": bands})
+
+
 @query
 def model_join_theta(spark: SparkSession, sf: str) -> DataFrame:
     on = "orders.o_custkey = customer.c_custkey AND orders.o_totalprice > customer.c_acctbal * 50"
@@ -524,6 +543,23 @@ def hash_cdc(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.hash_cdc(current_orders(spark, sf).select(*columns), before, NOW)
 
 
+@query
+def hash_cdc_counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines without their keys: fewer copies than before of some, more of others."""
+    columns = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    lines = table(spark, sf, "lineitem")
+    before = cdc.first_refresh(lines.where("l_linenumber <> 2").select(*columns), PRIOR)
+    return cdc.hash_cdc(lines.where("l_linenumber <> 1").select(*columns), before, NOW, counted=True)
+
+
+@query
+def checksum_diff(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_path(spark, "checksums")
+    write_checksum_tree(prior_orders(spark, sf), f"{base}/prior")
+    write_checksum_tree(current_orders(spark, sf), f"{base}/current")
+    return stored_checksum_diff(spark, f"{base}/prior", f"{base}/current")
+
+
 @query
 def history_append(spark: SparkSession, sf: str) -> DataFrame:
     first = history.append_history(prior_snapshot(spark, sf), None, PRIOR)
@@ -558,6 +594,31 @@ def sync_stored_history(spark: SparkSession, sf: str) -> DataFrame:
     return read_history(spark, synced_twice(spark, sf))
 
 
+def bucketed_twice(spark: SparkSession, sf: str) -> BucketStore:
+    store = BucketStore(scratch_path(spark, "buckets"), ("o_orderkey",), 16)
+    sync_buckets(prior_orders(spark, sf), store, PRIOR)
+    sync_buckets(current_orders(spark, sf), store, NOW)
+    return store
+
+
+@query
+def sync_stored_bucketed_delta(spark: SparkSession, sf: str) -> DataFrame:
+    return read_buckets(spark, bucketed_twice(spark, sf))
+
+
+@query
+def sync_stored_bucketed_history(spark: SparkSession, sf: str) -> DataFrame:
+    return read_bucket_history(spark, bucketed_twice(spark, sf))
+
+
+@query
+def sync_stored_bucketed_same(spark: SparkSession, sf: str) -> DataFrame:
+    """A third sync of the same rows: all buckets are shared with the version before."""
+    store = bucketed_twice(spark, sf)
+    sync_buckets(current_orders(spark, sf), store, "2025-01-03 00:00:00")
+    return read_buckets(spark, store)
+
+
 def drifted(spark: SparkSession, sf: str) -> SnapshotStore:
     """Two syncs of ``orders``; the second has the customer as text and the price as a wider number."""
     store = SnapshotStore(scratch_path(spark, "drift"))
@@ -593,6 +654,36 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     return read_snapshot(spark, store)
 
 
+@query
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of two jobs whose end got lost runs again."""
+    base = scratch_path(spark, "replay")
+    store, jobs = SnapshotStore(f"{base}/store"), []
+    for number, (rows, at) in enumerate([(prior_orders(spark, sf), PRIOR), (current_orders(spark, sf), NOW)]):
+        path = f"{base}/arrived/{number}.parquet"
+        write_parquet(rows, path)
+        jobs.append(f"struct('{path}' AS path, 'parquet' AS format, timestamp_ntz '{at}' AS synced_at)")
+    spark.range(1).selectExpr(f"inline(array({', '.join(jobs)}))").write.json(f"{base}/jobs")
+    for _ in range(2):
+        stream_jobs(spark, f"{base}/jobs", ORDER_KEY, store, f"{base}/checkpoint").awaitTermination()
+        remove_folder(spark, f"{base}/checkpoint/commits")
+    return read_history(spark, store)
+
+
+@query
+def stream_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Each arriving file is a snapshot."""
+    base = scratch_path(spark, "files")
+    store, schema = SnapshotStore(f"{base}/store"), table(spark, sf, "orders").schema
+    for rows in (prior_orders(spark, sf), current_orders(spark, sf)):
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/arrived")
+        query_ = stream_files(
+            spark, f"{base}/arrived", schema, ORDER_KEY, store, f"{base}/checkpoint", clock=lambda batch: (PRIOR, NOW)[batch]
+        )
+        query_.awaitTermination()
+    return read_snapshot(spark, store)
+
+
 # --- targets ---------------------------------------------------------------------------------------------------------
 
 
@@ -709,6 +800,19 @@ def export_stored_changelog(spark: SparkSession, sf: str) -> DataFrame:
     return outbound.read_changelog(spark, stored_export(spark, sf, "mysql")[1])
 
 
+@query
+def export_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Both jobs of a stored export run again, the earlier one last."""
+    store, log = stored_export(spark, sf, "mysql")
+    plan = outbound.write_plan({"primaryKey": ["o_orderkey"]}, "mysql")
+    for rows, write, now, job in (
+        (compared(spark, sf), plan, NOW, JOB),
+        (prior_snapshot(spark, sf), outbound.WritePlan("append"), PRIOR, "job-0"),
+    ):
+        outbound.export_to_store(rows, store, write, now, job, changelog_path=log, live_only=True)
+    return outbound.read_changelog(spark, log)
+
+
 @query
 def outbound_csv(spark: SparkSession, sf: str) -> DataFrame:
     config = {"remotePath": scratch_path(spark, "out"), "fileName": "{model_name}_{date}.csv", "archiveAfterUpload": True}
@@ -733,6 +837,20 @@ def partition_filter(spark: SparkSession, sf: str) -> DataFrame:
     return partitions.partition_filter(table(spark, sf, "orders"), "o_orderpriority", "3-MEDIUM")
 
 
+@query
+def partition_filter_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """A text column that spells the same number in several ways, with its stored key."""
+    spelt = F.expr(
+        """CASE l_linenumber % 4 WHEN 0 THEN CAST(l_suppkey AS STRING) WHEN 1 THEN concat('00', l_suppkey)
+           WHEN 2 THEN concat(l_suppkey, '0e-1') ELSE concat(l_suppkey, '.0') END"""
+    )
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", spelt.alias("supplier"))
+    path = scratch_path(spark, "value-keys")
+    write_parquet(partitions.with_value_key(lines, "supplier"), path)
+    found = partitions.partition_filter(read_source(spark, path, "parquet"), "supplier", "+7")
+    return found.select("l_orderkey", "l_linenumber", "supplier")
+
+
 @query
 def partition_build(spark: SparkSession, sf: str) -> DataFrame:
     built = partitions.build_partition(nation_models(spark, sf), "nation", "7", {"customer": "clients"})

@@ -8,7 +8,7 @@ from operator import and_
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -20,6 +20,7 @@ from ..functions import (
     col,
     data_columns,
 )
+from ..session import cut_lineage
 from .keys import apart_by, dedup_by_key, keys_not_null
 from .projection import ensure_row_hash, tag
 
@@ -104,7 +105,55 @@ def cdc_compare(
     )
 
 
-def hash_cdc(current: DataFrame, previous: DataFrame, now: Any) -> DataFrame:
+SALTS = 256  # parts that the rows of one fingerprint are numbered in
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows of each fingerprint numbered from 1 in ``__number``.
+
+    Rows are dealt out by a salt, numbered within it, and moved up by the counts of the smaller salts; so no task holds all rows of a
+    fingerprint. The checkpoint keeps the salts, and with them the numbers, should a task be lost.
+    """
+    salted = cut_lineage(df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")))
+    counts = salted.groupBy(col(HASH_COLUMN).alias("__ref"), F.col("__salt").alias("__part")).agg(F.count("*").alias("__n"))
+    smaller = Window.partitionBy("__ref").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__ref", "__part", F.coalesce(F.sum("__n").over(smaller), F.lit(0)).alias("__start"))
+    local = Window.partitionBy(col(HASH_COLUMN), F.col("__salt")).orderBy(F.lit(1))
+    rows = salted.withColumn("__local", F.row_number().over(local))
+    placed = rows.join(starts, (col(HASH_COLUMN) == F.col("__ref")) & (F.col("__salt") == F.col("__part")))
+    return placed.withColumn("__number", F.col("__start") + F.col("__local")).drop("__ref", "__part", "__salt", "__start", "__local")
+
+
+def _counted_cdc(current: DataFrame, previous: DataFrame, moment: Column) -> DataFrame:
+    """:func:`hash_cdc` with copies counted."""
+    data = data_columns(current.columns)
+    times = previous.groupBy(*apart_by([HASH_COLUMN])).agg(
+        F.count("*").alias("__copies"), F.min(col(TIMESTAMP)).alias("__ts"), F.min(col(LAST_UPDATED)).alias("__lu")
+    )
+    times = times.select(col(HASH_COLUMN).alias("__ref"), "__copies", "__ts", "__lu")
+    found = _numbered(current).join(times, col(HASH_COLUMN) == F.col("__ref"), "left")
+    known = F.coalesce(F.col("__number") <= F.col("__copies"), F.lit(False))
+    present = found.select(
+        *[col(c) for c in data],
+        col(HASH_COLUMN),
+        F.lit("INSERT").alias(OPERATION),
+        F.when(known, F.col("__ts")).otherwise(moment).alias(TIMESTAMP),
+        F.when(known, F.col("__lu")).otherwise(moment).alias(LAST_UPDATED),
+    )
+    now_there = current.groupBy(*apart_by([HASH_COLUMN])).agg(F.count("*").alias("__copies"))
+    now_there = now_there.select(col(HASH_COLUMN).alias("__ref"), "__copies")
+    left = _numbered(previous).join(now_there, col(HASH_COLUMN) == F.col("__ref"), "left")
+    gone = left.where(F.col("__number") > F.coalesce(F.col("__copies"), F.lit(0))).select(
+        *[col(c) for c in data if c in previous.columns],
+        col(HASH_COLUMN),
+        F.lit("DELETE").alias(OPERATION),
+        col(TIMESTAMP),
+        moment.alias(LAST_UPDATED),
+    )
+    return present.unionByName(gone, allowMissingColumns=True)
+
+
+def hash_cdc(current: DataFrame, previous: DataFrame, now: Any, counted: bool = False) -> DataFrame:
     """Change tags for a result without a key, by row fingerprint.
 
     Not in ``previous``: INSERT at ``now``. In both: INSERT with the old times. Only in ``previous``: DELETE, with its
@@ -112,11 +161,16 @@ def hash_cdc(current: DataFrame, previous: DataFrame, now: Any) -> DataFrame:
 
     A fingerprint may repeat without limit in either version, so the side that can repeat always streams through the
     join (where skewed partitions are split) against fingerprints made unique before the shuffle.
+
+    ``counted`` compares numbers of copies as well: of three equal rows that become one, one stays and two are DELETE; of one that
+    becomes three, two are INSERT at ``now``. The copies of a fingerprint share the earliest of its old times.
     """
     current = ensure_row_hash(current)
     previous = ensure_row_hash(previous)
     data = data_columns(current.columns)
     moment = as_timestamp(now)
+    if counted:
+        return _counted_cdc(current, previous, moment)
 
     times = (
         previous.select(col(HASH_COLUMN).alias("__ref"), col(TIMESTAMP), col(LAST_UPDATED))
