@@ -15,8 +15,11 @@ def text_form(value: Column, data_type: T.DataType) -> Column:
     """The text that goes into the row fingerprint.
 
     Spark's own cast, but for floating point: there the fingerprint uses plain notation from 1e-4 up to 1e16 and
-    a signed two-digit exponent outside (``12345678.9``, ``1e+16``, ``1.5e-05``), and ``inf``/``nan``.
+    a signed two-digit exponent outside (``12345678.9``, ``1e+16``, ``1.5e-05``), and ``inf``/``nan``. Nested values have a form
+    of their own, see :func:`nested_form`.
     """
+    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
+        return F.when(value.isNotNull(), nested_form(value, data_type))
     text = value.cast("string")
     if not isinstance(data_type, (T.DoubleType, T.FloatType)):
         return text
@@ -44,6 +47,32 @@ def text_form(value: Column, data_type: T.DataType) -> Column:
     )
 
 
+def nested_form(value: Column, data_type: T.DataType) -> Column:
+    """A text that is the same for equal nested values and different for others.
+
+    Texts and numbers carry their length (``1:7``), NULL is a tilde, and the parts of a value are joined in brackets: arrays in
+    their order, structs field by field, maps with their entries sorted, as a reader may give them in any order.
+    """
+    if isinstance(data_type, T.ArrayType):
+        parts = F.transform(value, lambda x: nested_form(x, data_type.elementType))
+        form = F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
+    elif isinstance(data_type, T.MapType):
+
+        def entry(e: Column) -> Column:
+            pair = nested_form(e["key"], data_type.keyType), nested_form(e["value"], data_type.valueType)
+            return F.concat(pair[0], F.lit("="), pair[1])
+
+        parts = F.array_sort(F.transform(F.map_entries(value), entry))
+        form = F.concat(F.lit("<"), F.array_join(parts, ","), F.lit(">"))
+    elif isinstance(data_type, T.StructType):
+        parts = [nested_form(value.getField(f.name), f.dataType) for f in data_type.fields]
+        form = F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")"))
+    else:
+        text = F.hex(value) if isinstance(data_type, T.BinaryType) else text_form(value, data_type)
+        form = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+    return F.when(value.isNotNull(), form).otherwise(F.lit("~"))
+
+
 def row_hash(df: DataFrame, columns: Iterable[str]) -> Column:
     """md5 over the text of ``columns`` in order, joined by a bar, NULL as empty text."""
     types = {f.name: f.dataType for f in df.schema.fields}

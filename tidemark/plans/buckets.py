@@ -29,7 +29,7 @@ from ..session import staging
 from ..sinks.files import SNAPSHOT_CODEC, rows_per_file
 from ..sources.storage import entries, folders, path_exists, read_text, remove_folder, stored_size, write_text
 from . import journal
-from .store import read_history, remove_history, write_history
+from .store import compact_history, read_history, remove_history, write_history
 from .sync import SyncResult, _is_earlier
 
 WRITTEN, BUCKET = "__written", "__bucket"
@@ -200,6 +200,7 @@ def sync_buckets(
     if batch is not None:
         journal.finish(spark, store.base, batch, asdict(result))
     _retain(spark, store, keep)
+    compact_history(spark, store, version)
     return result
 
 

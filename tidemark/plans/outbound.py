@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass
 from typing import Any
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import HASH_COLUMN
@@ -19,7 +19,7 @@ from ..session import staging
 from ..sinks.files import CHANGELOG_CODEC, write_csv, write_parquet
 from ..sinks.jdbc import append_jdbc, replace_jdbc
 from ..sources.storage import stored_size
-from . import journal
+from . import journal, tiers
 from .store import SnapshotStore, Version, batch_result, mark_batch, publish_snapshot, read_version, versions
 from .sync import SyncResult
 
@@ -157,7 +157,10 @@ def export_to_store(
 
         observed = export.target.observe(seen, F.count("*").alias("rows"))
         publish_snapshot(observed, store, version, before_commit=record)
-    return SyncResult(**batch_result(spark, store, job_id))
+    result = SyncResult(**batch_result(spark, store, job_id))
+    if changelog_path:
+        compact_changelog(spark, changelog_path, lambda job: journal.outcome(spark, store.base, job) is not None)
+    return result
 
 
 def export_to_csv(
@@ -194,5 +197,15 @@ def append_changelog(entries: DataFrame, path: str, job_id: str | None = None) -
     write_parquet(entries, folder, codec=CHANGELOG_CODEC, mode="overwrite" if job_id else "append")
 
 
-def read_changelog(spark, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path).drop(JOB_FOLDER)
+def compact_changelog(spark: SparkSession, path: str, done: Callable[[str], bool]) -> int:
+    """Merge the entries of jobs that are done and so will not write them again; see ``plans.tiers``."""
+
+    def final(folder: str) -> bool:
+        return done(unquote(folder.removeprefix(f"{JOB_FOLDER}=")))
+
+    return tiers.compact(spark, path, final, CHANGELOG_CODEC)
+
+
+def read_changelog(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of all jobs; a column that some lack is NULL there."""
+    return spark.read.option("mergeSchema", True).parquet(*(tiers.readable(spark, path) or [path])).drop(JOB_FOLDER)

@@ -1,7 +1,7 @@
 """Versions of a snapshot on storage, and its history.
 
 Layout: ``<base>/v00000001`` (``-b<count>-<digest of the keys>`` appended when bucketed) and
-``<base>/history/sync=00000001``. A version counts
+``<base>/history/sync=00000001`` (merged in tiers, see ``plans.tiers``). A version counts
 once its ``_SUCCESS`` marker is there, which is created last of all, after the sync's history: a job that dies half-way
 leaves the earlier version in place, and history beyond the latest complete version does not count. The latest two are kept.
 A version that a job made carries a ``_batch-<job>`` file with the job's result. When it is removed, the journal has the result.
@@ -26,7 +26,7 @@ from ..functions import TIMESTAMP, col, quote
 from ..session import overridden
 from ..sinks.files import MARKS_SUCCESS, SNAPSHOT_CODEC, rows_per_file, write_parquet
 from ..sources.storage import entries, folders, path_exists, read_text, remove_folder, touch, write_text
-from . import journal
+from . import journal, tiers
 
 
 @dataclass(frozen=True)
@@ -201,13 +201,10 @@ def read_history(spark: SparkSession, store: SnapshotStore, latest: int | None =
     """
     if latest is None:
         latest = max((v.number for v in versions(spark, store)), default=0)
-    found = [n for n in folders(spark, store.history_path) if int(n.removeprefix("sync=")) <= latest]
-    if not found:
+    paths = tiers.readable(spark, store.history_path, lambda name: sync_number(name) <= latest)
+    if not paths:
         return None
-    by_schema: dict[T.StructType, list[str]] = {}
-    for name in found:  # one footer per sync
-        path = f"{store.history_path}/{name}"
-        by_schema.setdefault(spark.read.parquet(path).schema, []).append(path)
+    by_schema = tiers.by_schema(spark, paths)
     types: dict[str, T.DataType] = {}
     for schema in by_schema:
         for field in schema.fields:
@@ -220,6 +217,15 @@ def read_history(spark: SparkSession, store: SnapshotStore, latest: int | None =
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def sync_number(name: str) -> int:
+    return int(name.removeprefix("sync="))
+
+
+def compact_history(spark: SparkSession, store: SnapshotStore, latest: int) -> int:
+    """Merge the history of syncs before the ``latest``, which alone may still be written again; see ``plans.tiers``."""
+    return tiers.compact(spark, store.history_path, lambda name: sync_number(name) < latest, SNAPSHOT_CODEC)
+
+
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     """A type that holds every value of both: the wider of two whole numbers, else text."""
     whole = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]

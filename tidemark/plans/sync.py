@@ -22,6 +22,7 @@ from .store import (
     SnapshotStore,
     Version,
     batch_result,
+    compact_history,
     mark_batch,
     publish_snapshot,
     read_version,
@@ -142,6 +143,7 @@ def sync_table(
 
     observed = rows.observe(seen, *metric_columns())
     result = told(publish_snapshot(observed, store, version, unique=compared, before_commit=record))
+    compact_history(spark, store, version)
     if batch is not None:
         result = SyncResult(**batch_result(spark, store, batch))
     return result
