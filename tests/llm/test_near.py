@@ -83,6 +83,54 @@ def test_minhash_blocks_of_a_large_bucket(spark, docs, monkeypatch):
     assert [got[i] for i in range(60)] == brute(texts, 2)[1]
 
 
+def families(seed, n=240):
+    """Families of texts that share much of a base text: of similarities from far below the limit to above it."""
+    rng = random.Random(seed)
+    texts = []
+    for f in range(3):
+        base = [f"f{f}w{i}" for i in range(90)]
+        for _ in range(n // 3):
+            words = list(base)
+            for _ in range(rng.choice([1, 3, 6, 9, 12])):
+                words[rng.randrange(90)] = f"v{rng.randrange(10**9)}"
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize(("block", "hot", "fine"), [(1024, 10**6, 1024), (8, 10**6, 1024), (8, 16, 1024), (8, 16, 40), (1024, 10**6, 40)])
+def test_minhash_in_open_buckets_equals_brute_force(spark, docs, monkeypatch, block, hot, fine):
+    """Buckets of several components: in one block, in several, split by a second band, and with sets that are not whole."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "HOT", hot)
+    monkeypatch.setattr(minhash, "FINE", fine)
+    texts = families(31)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(*texts), 2).collect()}
+    want = brute(texts, 2)[1]
+    assert [got[i] for i in range(len(texts))] == want
+    assert len(set(want)) > 50
+
+
+def test_meeting_rows_grow_with_the_bucket(spark, monkeypatch):
+    """Unlike classes of one hot bucket part in the second band, so that their rows do not grow with its square."""
+    monkeypatch.setattr(minhash, "HOT", 16)
+    made = []
+    for n in (200, 800):
+        rows = [(i, i, [7, *(1000 * b + i for b in range(1, minhash.BANDS))]) for i in range(n)]
+        own = spark.createDataFrame(rows, "id long, s1 long, bands array<long>")
+        placed = own.selectExpr("7L AS bucket", "0 AS band", "id", "s1", "id AS component")
+        dealt = minhash.open_meets(minhash._by_second_band(placed, own), 8)
+        made.append(dealt.count())
+    assert made == [0, 0]  # no two share another band
+
+
+def test_two_texts_under_an_id_have_their_own_sketches(spark, docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    near = [" ".join(f"{c}{i}" for i in range(58)) for c in "ab"]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs((1, a), (1, b), (2, near[0]), (3, near[1])), 2).collect()}
+    assert got == {1: 1, 2: 1, 3: 1}
+
+
 def test_minhash_on_awkward_rows(spark, docs):
     assert minhash.near_duplicates(docs(), 2).collect() == []
     same = "a b c d e f g"

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import code_points, mix64, sha256_hex, slice_starts, small_batches, text_of
 from tidemark.llm.graph import components
-from tidemark.llm.minhash import met_by, open_meets
+from tidemark.llm.minhash import met_by, open_meets, spread_groups
 from tidemark.session import cut_lineage
 
 SAMPLES = 96
@@ -32,7 +32,7 @@ LANES, LANE_CHARS = 2 * ROWS + 1, 4 * ROWS_CHARS  # texts walked side by side
 SLICE_ROWS = 1000
 BAND_SYMBOLS, BANDS = 12, 8  # bands of a level's samples
 BAND_LEAST = 6  # symbols that a band has before the text's end, to be a bucket; the first band needs one
-BLOCK = 256  # classes of a bucket that are compared with each other at once
+BLOCK = 1024  # classes of a bucket that are compared with each other at once
 LIKE = 0.9
 PAD = 255  # stands behind a text's end; the pointer stays there
 
@@ -270,8 +270,9 @@ def _near_classes(marked: DataFrame, like: float) -> DataFrame:
     # Buckets that hold more than one component yet.
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    dealt = open_meets(placed, BLOCK).join(classes, "id").groupBy("bucket", "block", "group")
-    links = links.unionByName(dealt.applyInPandas(_block_links(like), "a long, b long").distinct())
+    keys = ["bucket", "block", "group"]
+    dealt = spread_groups(open_meets(placed, BLOCK).join(classes, "id"), *keys).groupBy(*keys)
+    links = links.unionByName(cut_lineage(dealt.applyInPandas(_block_links(like), "a long, b long").distinct()))
     final = components(links).withColumnRenamed("node", "id")
     return classes.join(final, "id", "left").select("fingerprint", F.coalesce("component", "id").alias("near_id"))
 

@@ -7,8 +7,10 @@ Jaccard similarity, and the share of agreeing coordinates is as concentrated as
 
 Equal sets are one class and are sketched once. In each bucket of equal bands all classes are compared with the smallest
 one, on full sets. Where a bucket's classes still lie in different components, those outside the largest are compared with
-all of it, block by block, and the sketches sort out pairs that cannot reach the similarity; so no link is lost, and no group
-is expanded into all its pairs.
+all of it inside the tasks, block by block: by size, by sketch, and by the smallest ``FINE`` hashes of both sets, which are
+the full sets for all but long texts. A bucket of more than ``HOT`` classes is first split by a second band, so that unlike
+classes part. Only links that join components, and pairs of long texts that may be links, leave the tasks; the full sets of
+the latter decide.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ from tidemark.session import cut_lineage
 
 BANDS, ROWS = 42, 6  # a pair of similarity 0.8 shares no band with a chance of 3e-6
 COORDINATES = BANDS * ROWS
-BLOCK = 256  # classes of a bucket that are compared with each other at once
+BLOCK = 1024  # classes of a bucket that are compared with each other at once
+HOT = 16 * BLOCK  # a pair of similarity 0.8 that meets in a larger bucket shares no second band with a chance of 4e-5
+FINE = 1024  # hashes of a set that go with a class into a bucket's blocks; all of them, if there are no more
 SPREAD = 4.5  # standard deviations below the similarity, from where a sketch rules a pair out
 
 SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, coords binary"
@@ -108,6 +112,12 @@ def _band_keys(coords: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _sums(hashes: np.ndarray) -> tuple[int, int]:
+    """Two sums over a set that tell it from others."""
+    s1, s2 = (np.sum(x, dtype=np.uint64).astype(np.int64) for x in (mix64(hashes), mix64(hashes ^ ROUND[0])))
+    return int(s1), int(s2)
+
+
 def _sketches(width: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,8 +128,7 @@ def _sketches(width: int):
                     out.append((0, 0, 0, np.zeros(0, np.int64), b""))
                     continue
                 coords = sketch(h)
-                sums = [int(np.sum(x, dtype=np.uint64).astype(np.int64)) for x in (mix64(h), mix64(h ^ ROUND[0]))]
-                out.append((len(h), *sums, _band_keys(coords), mix64(coords).astype(np.uint16).tobytes()))
+                out.append((len(h), *_sums(h), _band_keys(coords), mix64(coords).astype(np.uint8).tobytes()))
             made = pd.DataFrame(out, columns=["n_shingles", "s1", "s2", "bands", "coords"])
             made.insert(0, "doc_id", batch["doc_id"].array)
             yield made
@@ -136,6 +145,16 @@ def _full_sets(width: int):
     return rows
 
 
+def _fine_sets(width: int, given: int):
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles(t, width) for t in batch["text"]]
+            firsts = [_sums(h)[0] for h in sets]
+            yield pd.DataFrame({"id": batch["id"], "s1": firsts, "fine": [h[:given].tobytes() for h in sets]})
+
+    return rows
+
+
 def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sets, as sorted hashes, are similar enough."""
     short, long = (x, y) if len(x) <= len(y) else (y, x)
@@ -159,48 +178,93 @@ def _similar(percent: int):
     return rows
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``id, shingles``: the full sets of the documents whose ids are given."""
-    texts = likely_among(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).join(ids, "id")
-    return texts.mapInPandas(_full_sets(width), "id long, shingles binary")
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, text`` of the documents whose ids are given."""
+    return likely_among(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).join(ids, "id")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the similarity."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _sets_of(docs, ids, width)
+    sets = _texts_of(docs, ids).mapInPandas(_full_sets(width), "id long, shingles binary")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return joined.mapInPandas(_similar(percent), "a long, b long").distinct()
 
 
-def _block_links(percent: int):
-    """Links between a visitor and a resident of different components: sketches first, then the full sets."""
+def _fine_reach(x: np.ndarray, y: np.ndarray, whole: bool, percent: int, given: int) -> bool:
+    """Whether two sets of which the ``given`` smallest hashes are known can be similar enough; for whole sets, whether they are."""
+    if whole:
+        return _reaches(x, y, percent)
+    ends = [z[-1] for z in (x, y) if len(z) == given]  # up to the smaller end both are known
+    x, y = (z[: np.searchsorted(z, min(ends), "right")] for z in (x, y))
+    short, long = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+    same = int((long[at] == short).sum())
+    seen, limit = len(short) + len(long) - same, percent / 100
+    return same >= seen * (limit - SPREAD * (limit * (1 - limit) / seen) ** 0.5)
+
+
+def _block_links(percent: int, given: int):
+    """Links between a visitor and a resident of different components, and pairs of long texts that may be links.
+
+    Links of whole sets are ``sure``; of those between the same components one is enough.
+    """
     limit = percent / 100
     least = int(COORDINATES * (limit - SPREAD * (limit * (1 - limit) / COORDINATES) ** 0.5))
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
-        coords = np.array([np.frombuffer(c, dtype=np.uint16) for c in rows["coords"]])
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["shingles"]]
+        coords = np.array([np.frombuffer(c, dtype=np.uint8) for c in rows["coords"]])
+        bands = np.stack(rows["bands"].to_numpy())
+        fine = [np.frombuffer(x, dtype=np.uint64) for x in rows["fine"]]
         ids, comps, minor = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["minor"].to_numpy()
-        visits, band = rows["visits"].to_numpy(), int(rows["band"].iloc[0])
+        sizes, visits = rows["n_shingles"].to_numpy(), rows["visits"].to_numpy()
+        band, second = int(rows["band"].iloc[0]), int(rows["second"].iloc[0])
         residents = np.flatnonzero(~visits)
-        found = []
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while up.get(c, c) != c:
+                c = up[c]
+            return c
+
+        sure, open_ = [], []
         for i in np.flatnonzero(visits):
             fit = met_by(i, residents, ids, comps, minor)
-            same = coords[fit] == coords[i]
-            alike = same.sum(axis=1) >= least
-            # A pair that shares several bands is compared in the first of them.
-            first = same[alike].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
-            for j in fit[alike][first]:
-                if _reaches(sets[i], sets[j], percent):
-                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+            fit = fit[100 * np.minimum(sizes[fit], sizes[i]) >= percent * np.maximum(sizes[fit], sizes[i])]
+            fit = fit[(coords[fit] == coords[i]).sum(axis=1) >= least]
+            # A pair that shares several buckets is compared in the first of them.
+            shared = bands[fit] == bands[i]
+            first = shared.argmax(axis=1) == band
+            if second >= 0:
+                shared[:, band] = False
+                first &= shared.argmax(axis=1) == second
+            for j in fit[first]:
+                ours, theirs = top(comps[i]), top(comps[j])
+                whole = max(sizes[i], sizes[j]) <= given
+                if ours != theirs and _fine_reach(fine[i], fine[j], whole, percent, given):
+                    if whole:
+                        up[ours] = theirs
+                    (sure if whole else open_).append((i, j))
+        found = [(i, j, True) for i, j in sure] + [(i, j, False) for i, j in open_ if top(comps[i]) != top(comps[j])]
+        ends = [(min(ids[i], ids[j]), max(ids[i], ids[j]), known) for i, j, known in found]
+        return pd.DataFrame(ends, columns=["a", "b", "sure"]).astype({"a": np.int64, "b": np.int64, "sure": bool})
 
     return compared
 
 
+def _by_second_band(placed: DataFrame, own: DataFrame) -> DataFrame:
+    """``placed`` with ``second``: classes of buckets over ``HOT`` are dealt into buckets of a later band besides."""
+    hot = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"))
+    hot = hot.where((F.col("n") > HOT) & (F.col("c") != F.col("d"))).select("bucket")
+    cold = placed.join(hot, "bucket", "left_anti").withColumn("second", F.lit(-1))
+    keys = own.select("id", "s1", "bands").dropDuplicates(["id", "s1"])
+    split = placed.join(hot, "bucket").join(keys, ["id", "s1"])
+    split = split.select(*placed.columns, F.posexplode("bands").alias("second", "key")).where(F.col("second") > F.col("band"))
+    return cold.unionByName(split.withColumn("bucket", F.xxhash64("bucket", "key")).drop("key"))
+
+
 def open_meets(placed: DataFrame, block_rows: int) -> DataFrame:
     """The rows of buckets with several components, dealt out so that all classes of different ones meet in a block.
 
@@ -239,13 +303,22 @@ def met_by(i: int, residents: np.ndarray, ids: np.ndarray, comps: np.ndarray, mi
     return residents[(comps[residents] != comps[i]) & (~minor[residents] | (ids[residents] > ids[i]))]
 
 
-def _open_links(docs: DataFrame, placed: DataFrame, coords: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different components of a bucket; ``placed`` has ``bucket, band, id, component``."""
-    dealt = open_meets(placed, BLOCK)
+def spread_groups(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows by key over all shuffle partitions: few bytes may be much work, so they are not to be put together."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _open_links(docs: DataFrame, placed: DataFrame, own: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components of a bucket; ``placed`` has ``bucket, band, id, s1, component``."""
+    dealt = open_meets(_by_second_band(placed, own), BLOCK)
     ids = dealt.select("id").distinct()
-    known = likely_among(coords, "id", ids).join(ids, "id").dropDuplicates(["id"]).join(_sets_of(docs, ids, width), "id")
-    compared = dealt.join(known, "id").groupBy("bucket", "block", "group")
-    return compared.applyInPandas(_block_links(percent), "a long, b long").distinct()
+    fine = _texts_of(docs, ids).mapInPandas(_fine_sets(width, FINE), "id long, s1 long, fine binary")
+    known = likely_among(own.select("id", "s1", "n_shingles", "bands", "coords"), "id", ids).join(fine, ["id", "s1"])
+    keys = ["bucket", "band", "second", "block", "group"]
+    met = spread_groups(dealt.join(known.dropDuplicates(["id", "s1"]), ["id", "s1"]), *keys)
+    met = cut_lineage(met.groupBy(*keys).applyInPandas(_block_links(percent, FINE), "a long, b long, sure boolean").distinct())
+    sure, rest = met.where("sure").select("a", "b"), met.where("NOT sure").select("a", "b")
+    return sure.unionByName(_verified(docs, rest, width, percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -263,10 +336,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     classes = held.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("id"))
     classes = cut_lineage(classes)
-    own = held.select("doc_id", "s1", "s2", "n_shingles", "bands").join(classes, ["s1", "s2", "n_shingles"])
-    own = own.where(F.col("doc_id") == F.col("id")).select("id", "bands")
+    own = held.join(classes, ["s1", "s2", "n_shingles"]).where(F.col("doc_id") == F.col("id"))
 
-    buckets = own.select("id", F.posexplode("bands").alias("band", "bucket"))
+    buckets = own.select("id", "s1", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last"))
     shared = shared.where(F.col("centre") != F.col("last")).select("bucket", "centre")
     members = cut_lineage(buckets.join(shared, "bucket"))
@@ -277,9 +349,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     # Buckets that hold more than one component yet.
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.select("bucket", "band", "id", F.coalesce("component", "id").alias("component"))
-    coords = held.select(F.col("doc_id").alias("id"), "coords")
-    links = links.unionByName(cut_lineage(_open_links(base, placed, coords, width, percent)))
+    placed = placed.select("bucket", "band", "id", "s1", F.coalesce("component", "id").alias("component"))
+    links = links.unionByName(cut_lineage(_open_links(base, placed, own, width, percent)))
 
     # Documents under one id with different sets tie their classes together.
     tagged = held.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "id")
