@@ -254,13 +254,14 @@ def _block_links(percent: int, given: int):
     return compared
 
 
-def _by_second_band(placed: DataFrame, own: DataFrame) -> DataFrame:
+def _by_second_band(placed: DataFrame, sketches: DataFrame) -> DataFrame:
     """``placed`` with ``second``: classes of buckets over ``HOT`` are dealt into buckets of a later band besides."""
     hot = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"))
     hot = hot.where((F.col("n") > HOT) & (F.col("c") != F.col("d"))).select("bucket")
     cold = placed.join(hot, "bucket", "left_anti").withColumn("second", F.lit(-1))
-    keys = own.select("id", "s1", "bands").dropDuplicates(["id", "s1"])
-    split = placed.join(hot, "bucket").join(keys, ["id", "s1"])
+    parted = placed.join(hot, "bucket")
+    keys = likely_among(sketches.select("id", "s1", "bands"), "id", parted.select("id"))
+    split = parted.join(keys.dropDuplicates(["id", "s1"]), ["id", "s1"])
     split = split.select(*placed.columns, F.posexplode("bands").alias("second", "key")).where(F.col("second") > F.col("band"))
     return cold.unionByName(split.withColumn("bucket", F.xxhash64("bucket", "key")).drop("key"))
 
@@ -308,12 +309,12 @@ def spread_groups(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def _open_links(docs: DataFrame, placed: DataFrame, own: DataFrame, width: int, percent: int) -> DataFrame:
+def _open_links(docs: DataFrame, placed: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between different components of a bucket; ``placed`` has ``bucket, band, id, s1, component``."""
-    dealt = open_meets(_by_second_band(placed, own), BLOCK)
+    dealt = cut_lineage(open_meets(cut_lineage(_by_second_band(cut_lineage(placed), sketches)), BLOCK))
     ids = dealt.select("id").distinct()
     fine = _texts_of(docs, ids).mapInPandas(_fine_sets(width, FINE), "id long, s1 long, fine binary")
-    known = likely_among(own.select("id", "s1", "n_shingles", "bands", "coords"), "id", ids).join(fine, ["id", "s1"])
+    known = likely_among(sketches, "id", ids).join(fine, ["id", "s1"])
     keys = ["bucket", "band", "second", "block", "group"]
     met = spread_groups(dealt.join(known.dropDuplicates(["id", "s1"]), ["id", "s1"]), *keys)
     met = cut_lineage(met.groupBy(*keys).applyInPandas(_block_links(percent, FINE), "a long, b long, sure boolean").distinct())
@@ -336,7 +337,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     classes = held.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("id"))
     classes = cut_lineage(classes)
-    own = held.join(classes, ["s1", "s2", "n_shingles"]).where(F.col("doc_id") == F.col("id"))
+    own = held.drop("coords").join(classes, ["s1", "s2", "n_shingles"]).where(F.col("doc_id") == F.col("id"))
 
     buckets = own.select("id", "s1", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last"))
@@ -350,7 +351,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # Buckets that hold more than one component yet.
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("bucket", "band", "id", "s1", F.coalesce("component", "id").alias("component"))
-    links = links.unionByName(cut_lineage(_open_links(base, placed, own, width, percent)))
+    sketches = held.select(F.col("doc_id").alias("id"), "s1", "n_shingles", "bands", "coords")
+    links = links.unionByName(cut_lineage(_open_links(base, placed, sketches, width, percent)))
 
     # Documents under one id with different sets tie their classes together.
     tagged = held.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "id")
