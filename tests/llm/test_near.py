@@ -119,11 +119,24 @@ def test_meeting_rows_grow_with_the_bucket(spark, monkeypatch):
         rows = [(i, i, [7, *(1000 * b + i for b in range(1, minhash.BANDS))]) for i in range(n)]
         own = spark.createDataFrame(rows, "id long, s1 long, bands array<long>")
         placed = own.selectExpr("7L AS bucket", "0 AS band", "id", "s1", "id AS component")
-        dealt = minhash.open_meets(minhash._by_second_band(placed, own), 8)
+        dealt = minhash.open_meets(minhash._by_second_band(minhash.mixed_buckets(placed), own), 8)
         made.append(dealt.count())
     assert made == [0, 0]  # no two share another band
 
 
+def test_a_bucket_of_one_block_costs_a_row_per_class(spark):
+    placed = spark.range(50).selectExpr("7L AS bucket", "0 AS band", "id", "id AS s1", "id DIV 2 AS component")
+    dealt = minhash.open_meets(minhash.mixed_buckets(placed), 64)
+    rows = dealt.collect()
+    assert len(rows) == 50 and all(r["stays"] for r in rows) and sum(r["visits"] for r in rows) == 48
+    several = [(r["id"], r["block"], r["group"], r["stays"], r["visits"]) for r in minhash.open_meets(minhash.mixed_buckets(placed), 16).collect()]
+    stays = {(i, b, g) for i, b, g, s, _ in several if s}
+    visits = {(i, b, g) for i, b, g, _, v in several if v}
+    assert len(several) == len({x[:3] for x in several})  # no class twice in a meeting
+    ids = {i for i, _, _ in visits}
+    assert all({i for i, b, g in stays if (b, g) in {(b, g) for k, b, g in visits if k == j}} == set(range(50)) for j in ids)
+
+
 def test_two_texts_under_an_id_have_their_own_sketches(spark, docs):
     a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
     near = [" ".join(f"{c}{i}" for i in range(58)) for c in "ab"]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import code_points, mix64, sha256_hex, slice_starts, small_batches, text_of
 from tidemark.llm.graph import components
-from tidemark.llm.minhash import met_by, open_meets, spread_groups
+from tidemark.llm.minhash import met_by, mixed_buckets, open_meets, spread_groups
 from tidemark.session import cut_lineage
 
 SAMPLES = 96
@@ -224,7 +224,7 @@ def _block_links(like: float):
         halves = raw[:, 2:].reshape(-1, 2, SAMPLES)
         ids, comps, minor = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["minor"].to_numpy()
         visits = rows["visits"].to_numpy()
-        residents = np.flatnonzero(~visits)
+        residents = np.flatnonzero(rows["stays"])
         found = []
         for i in np.flatnonzero(visits):
             fit = met_by(i, residents, ids, comps, minor)
@@ -271,7 +271,7 @@ def _near_classes(marked: DataFrame, like: float) -> DataFrame:
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("bucket", "id", F.coalesce("component", "id").alias("component"))
     keys = ["bucket", "block", "group"]
-    dealt = spread_groups(open_meets(placed, BLOCK).join(classes, "id"), *keys).groupBy(*keys)
+    dealt = spread_groups(open_meets(mixed_buckets(placed), BLOCK).join(classes, "id"), *keys).groupBy(*keys)
     links = links.unionByName(cut_lineage(dealt.applyInPandas(_block_links(like), "a long, b long").distinct()))
     final = components(links).withColumnRenamed("node", "id")
     return classes.join(final, "id", "left").select("fingerprint", F.coalesce("component", "id").alias("near_id"))

@@ -33,6 +33,7 @@ HOT = 16 * BLOCK  # a pair of similarity 0.8 that meets in a larger bucket share
 FINE = 1024  # hashes of a set that go with a class into a bucket's blocks; all of them, if there are no more
 SPREAD = 4.5  # standard deviations below the similarity, from where a sketch rules a pair out
 
+STATS = ("main", "size", "most")  # of a bucket with several components
 SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, coords binary"
 
 _RNG = np.random.default_rng(20_25)
@@ -221,7 +222,7 @@ def _block_links(percent: int, given: int):
         ids, comps, minor = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["minor"].to_numpy()
         sizes, visits = rows["n_shingles"].to_numpy(), rows["visits"].to_numpy()
         band, second = int(rows["band"].iloc[0]), int(rows["second"].iloc[0])
-        residents = np.flatnonzero(~visits)
+        residents = np.flatnonzero(rows["stays"])
         up: dict[int, int] = {}
 
         def top(c: int) -> int:
@@ -254,49 +255,58 @@ def _block_links(percent: int, given: int):
     return compared
 
 
-def _by_second_band(placed: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``placed`` with ``second``: classes of buckets over ``HOT`` are dealt into buckets of a later band besides."""
-    hot = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"))
-    hot = hot.where((F.col("n") > HOT) & (F.col("c") != F.col("d"))).select("bucket")
-    cold = placed.join(hot, "bucket", "left_anti").withColumn("second", F.lit(-1))
-    parted = placed.join(hot, "bucket")
-    keys = likely_among(sketches.select("id", "s1", "bands"), "id", parted.select("id"))
-    split = parted.join(keys.dropDuplicates(["id", "s1"]), ["id", "s1"])
-    split = split.select(*placed.columns, F.posexplode("bands").alias("second", "key")).where(F.col("second") > F.col("band"))
-    return cold.unionByName(split.withColumn("bucket", F.xxhash64("bucket", "key")).drop("key"))
+def mixed_buckets(placed: DataFrame) -> DataFrame:
+    """The rows of buckets with several components, with the bucket's ``main`` component, its ``most`` rows, and all ``size`` rows.
 
-
-def open_meets(placed: DataFrame, block_rows: int) -> DataFrame:
-    """The rows of buckets with several components, dealt out so that all classes of different ones meet in a block.
-
-    ``placed`` has ``bucket, id, component`` and other columns; ``minor, block, group, visits`` are added. A bucket's most
-    frequent component needs no comparison within itself. All other classes, the minor ones, visit every block of the
-    bucket's classes; visitors come in blocks as well. So a bucket of one large component and a few others costs a row per
-    class and block of others.
+    ``placed`` has ``bucket, component`` and other columns.
     """
     counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most")
     )
-    mixed = main.where(F.col("most") < F.col("size"))
-    rest = placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("main"))
+    return placed.join(main.where(F.col("most") < F.col("size")), "bucket")
+
+
+def _by_second_band(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``mixed`` with ``second``: classes of buckets over ``HOT`` are dealt into buckets of a later band besides."""
+    cold = mixed.where(F.col("size") <= HOT).withColumn("second", F.lit(-1))
+    hot = mixed.where(F.col("size") > HOT).drop(*STATS)
+    if hot.isEmpty():
+        return cold
+    keys = likely_among(sketches.select("id", "s1", "bands"), "id", hot.select("id"))
+    split = hot.join(keys.dropDuplicates(["id", "s1"]), ["id", "s1"])
+    split = split.select(*hot.columns, F.posexplode("bands").alias("second", "key")).where(F.col("second") > F.col("band"))
+    split = cut_lineage(split.withColumn("bucket", F.xxhash64("bucket", "key")).drop("key"))
+    return cold.unionByName(mixed_buckets(split))
+
+
+def open_meets(mixed: DataFrame, block_rows: int) -> DataFrame:
+    """The rows of ``mixed_buckets``, dealt out so that all classes of different components of a bucket meet in a block.
+
+    ``mixed`` has ``id`` too; ``minor, block, group, stays, visits`` take the place of the bucket's sizes. A bucket's most
+    frequent component needs no comparison within itself. All other classes, the minor ones, visit every block of the
+    bucket's classes; visitors come in blocks as well. A minor class stays in the block of its own that its group visits, so
+    one row is both there. So a bucket of one block costs a row per class, and one of a large component and a few others a
+    row per class and block of others.
+    """
+    rest = mixed.withColumn("minor", F.col("component") != F.col("main"))
     rest = rest.withColumn("blocks", F.ceil(F.col("size") / block_rows).cast("int"))
     rest = rest.withColumn("groups", F.ceil((F.col("size") - F.col("most")) / block_rows).cast("int"))
     hashed = F.xxhash64("id")
     block, group = F.pmod(hashed, F.col("blocks")).cast("int"), F.pmod(hashed, F.col("groups")).cast("int")
 
-    def meets(own, count, own_first: bool, visits: bool):
-        return F.transform(
-            F.sequence(F.lit(0), F.col(count) - 1),
-            lambda j: F.struct(
-                (own if own_first else j).alias("block"), (j if own_first else own).alias("group"), F.lit(visits).alias("visits")
-            ),
-        )
+    def meet(at_block, at_group, stays, visits):
+        return F.struct(at_block.alias("block"), at_group.alias("group"), stays.alias("stays"), visits.alias("visits"))
+
+    def upto(count: str):
+        return F.sequence(F.lit(0), F.col(count) - 1)
 
-    stays = meets(block, "groups", True, False)
-    goes = meets(group, "blocks", False, True)
-    met = F.explode(F.when(F.col("minor"), F.concat(stays, goes)).otherwise(stays)).alias("meet")
-    return rest.select(*placed.columns, "minor", met).select(*placed.columns, "minor", "meet.block", "meet.group", "meet.visits")
+    own = F.transform(upto("groups"), lambda j: meet(block, j, F.lit(True), F.col("minor") & (j == group)))
+    others = F.filter(upto("blocks"), lambda j: j != block)
+    goes = F.transform(others, lambda j: meet(j, group, F.lit(False), F.lit(True)))
+    met = F.explode(F.when(F.col("minor"), F.concat(own, goes)).otherwise(own)).alias("meet")
+    kept = [c for c in mixed.columns if c not in STATS]
+    return rest.select(*kept, "minor", met).select(*kept, "minor", "meet.*")
 
 
 def met_by(i: int, residents: np.ndarray, ids: np.ndarray, comps: np.ndarray, minor: np.ndarray) -> np.ndarray:
@@ -311,7 +321,8 @@ def spread_groups(rows: DataFrame, *keys: str) -> DataFrame:
 
 def _open_links(docs: DataFrame, placed: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between different components of a bucket; ``placed`` has ``bucket, band, id, s1, component``."""
-    dealt = cut_lineage(open_meets(cut_lineage(_by_second_band(cut_lineage(placed), sketches)), BLOCK))
+    mixed = cut_lineage(mixed_buckets(cut_lineage(placed)))
+    dealt = cut_lineage(open_meets(_by_second_band(mixed, sketches), BLOCK))
     ids = dealt.select("id").distinct()
     fine = _texts_of(docs, ids).mapInPandas(_fine_sets(width, FINE), "id long, s1 long, fine binary")
     known = likely_among(sketches, "id", ids).join(fine, ["id", "s1"])
