@@ -7,10 +7,10 @@ Jaccard similarity, and the share of agreeing coordinates is as concentrated as
 
 Equal sets are one class and are sketched once. In each bucket of equal bands all classes are compared with the smallest
 one, on full sets. Where a bucket's classes still lie in different components, those outside the largest are compared with
-all of it inside the tasks, block by block: by size, by sketch, and by the smallest ``FINE`` hashes of both sets, which are
-the full sets for all but long texts. A bucket of more than ``HOT`` classes is first split by a second band, so that unlike
-classes part. Only links that join components, and pairs of long texts that may be links, leave the tasks; the full sets of
-the latter decide.
+all of it inside the tasks, block by block: by size, by sketch, and by the upper halves of the smallest ``FINE`` hashes of
+both sets, which are all of them but in long texts. A bucket of more than ``HOT`` classes is first split by a second band, so that unlike
+classes part. Halves of hashes can only make sets look more alike than they are, so no link is ruled out by them. Only links
+that join components, and pairs of long texts that may be links, leave the tasks; their full sets decide.
 """
 
 from __future__ import annotations
@@ -151,7 +151,8 @@ def _fine_sets(width: int, given: int):
         for batch in batches:
             sets = [shingles(t, width) for t in batch["text"]]
             firsts = [_sums(h)[0] for h in sets]
-            yield pd.DataFrame({"id": batch["id"], "s1": firsts, "fine": [h[:given].tobytes() for h in sets]})
+            halves = [(h[:given] >> np.uint64(32)).astype(np.uint32).tobytes() for h in sets]
+            yield pd.DataFrame({"id": batch["id"], "s1": firsts, "fine": halves})
 
     return rows
 
@@ -195,7 +196,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
 
 
 def _fine_reach(x: np.ndarray, y: np.ndarray, whole: bool, percent: int, given: int) -> bool:
-    """Whether two sets of which the ``given`` smallest hashes are known can be similar enough; for whole sets, whether they are."""
+    """Whether two sets, of which the upper halves of the ``given`` smallest hashes are known, can be similar enough."""
     if whole:
         return _reaches(x, y, percent)
     ends = [z[-1] for z in (x, y) if len(z) == given]  # up to the smaller end both are known
@@ -208,17 +209,17 @@ def _fine_reach(x: np.ndarray, y: np.ndarray, whole: bool, percent: int, given:
 
 
 def _block_links(percent: int, given: int):
-    """Links between a visitor and a resident of different components, and pairs of long texts that may be links.
+    """Likely links between a visitor and a resident of different components, to be decided by their full sets.
 
-    Links of whole sets are ``sure``; of those between the same components one is enough.
+    Of those between the same components one is enough, if the sets are whole.
     """
     limit = percent / 100
     least = int(COORDINATES * (limit - SPREAD * (limit * (1 - limit) / COORDINATES) ** 0.5))
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
         coords = np.array([np.frombuffer(c, dtype=np.uint8) for c in rows["coords"]])
-        bands = np.stack(rows["bands"].to_numpy())
-        fine = [np.frombuffer(x, dtype=np.uint64) for x in rows["fine"]]
+        bands = np.stack(rows["before"].to_numpy())
+        fine = [np.frombuffer(x, dtype=np.uint32) for x in rows["fine"]]
         ids, comps, minor = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["minor"].to_numpy()
         sizes, visits = rows["n_shingles"].to_numpy(), rows["visits"].to_numpy()
         band, second = int(rows["band"].iloc[0]), int(rows["second"].iloc[0])
@@ -230,27 +231,24 @@ def _block_links(percent: int, given: int):
                 c = up[c]
             return c
 
-        sure, open_ = [], []
+        joined, open_ = [], []
         for i in np.flatnonzero(visits):
             fit = met_by(i, residents, ids, comps, minor)
             fit = fit[100 * np.minimum(sizes[fit], sizes[i]) >= percent * np.maximum(sizes[fit], sizes[i])]
             fit = fit[(coords[fit] == coords[i]).sum(axis=1) >= least]
             # A pair that shares several buckets is compared in the first of them.
             shared = bands[fit] == bands[i]
-            first = shared.argmax(axis=1) == band
             if second >= 0:
                 shared[:, band] = False
-                first &= shared.argmax(axis=1) == second
-            for j in fit[first]:
+            for j in fit[~shared.any(axis=1)]:
                 ours, theirs = top(comps[i]), top(comps[j])
                 whole = max(sizes[i], sizes[j]) <= given
                 if ours != theirs and _fine_reach(fine[i], fine[j], whole, percent, given):
                     if whole:
                         up[ours] = theirs
-                    (sure if whole else open_).append((i, j))
-        found = [(i, j, True) for i, j in sure] + [(i, j, False) for i, j in open_ if top(comps[i]) != top(comps[j])]
-        ends = [(min(ids[i], ids[j]), max(ids[i], ids[j]), known) for i, j, known in found]
-        return pd.DataFrame(ends, columns=["a", "b", "sure"]).astype({"a": np.int64, "b": np.int64, "sure": bool})
+                    (joined if whole else open_).append((i, j))
+        found = joined + [(i, j) for i, j in open_ if top(comps[i]) != top(comps[j])]
+        return pd.DataFrame([(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in found], columns=["a", "b"], dtype=np.int64)
 
     return compared
 
@@ -327,10 +325,11 @@ def _open_links(docs: DataFrame, placed: DataFrame, sketches: DataFrame, width:
     fine = _texts_of(docs, ids).mapInPandas(_fine_sets(width, FINE), "id long, s1 long, fine binary")
     known = likely_among(sketches, "id", ids).join(fine, ["id", "s1"])
     keys = ["bucket", "band", "second", "block", "group"]
-    met = spread_groups(dealt.join(known.dropDuplicates(["id", "s1"]), ["id", "s1"]), *keys)
-    met = cut_lineage(met.groupBy(*keys).applyInPandas(_block_links(percent, FINE), "a long, b long, sure boolean").distinct())
-    sure, rest = met.where("sure").select("a", "b"), met.where("NOT sure").select("a", "b")
-    return sure.unionByName(_verified(docs, rest, width, percent))
+    before = F.slice("bands", 1, F.greatest("band", "second")).alias("before")  # the bands of earlier buckets
+    light = [*dealt.columns, "n_shingles", "coords", "fine", before]
+    met = spread_groups(dealt.join(known.dropDuplicates(["id", "s1"]), ["id", "s1"]).select(*light), *keys)
+    likely = cut_lineage(met.groupBy(*keys).applyInPandas(_block_links(percent, FINE), "a long, b long").distinct())
+    return _verified(docs, likely, width, percent)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
