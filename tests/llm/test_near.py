@@ -302,3 +302,35 @@ def test_op8_carries_near_ids(spark):
     for r in rows:
         by_mark.setdefault(r["fingerprint"], set()).add(r["near_id"])
     assert all(len(ids) == 1 for ids in by_mark.values()) and any(r["near_id"] != r["doc_id"] for r in rows)
+
+
+def test_a_pair_of_a_hot_bucket_without_a_second_band_is_linked(spark, docs, monkeypatch):
+    """All texts share one band only; the two that are alike are linked, however many classes the bucket may have."""
+    words = [[f"t{t}w{i}" for i in range(60)] for t in range(8)]
+    texts = [" ".join(w) for w in words] + [" ".join([*words[3][:57], "x", "y", "z"])]
+    frame = docs(*texts).select("doc_id", "text")
+    made = frame.coalesce(1).mapInPandas(minhash._sketches(2), minhash.SKETCH).collect()
+    rows = [(r["doc_id"], r["s1"], r["n_shingles"], [7, *range(100 * r["doc_id"] + 1, 100 * r["doc_id"] + minhash.BANDS)], r["coords"]) for r in made]
+    sketches = spark.createDataFrame(rows, "id long, s1 long, n_shingles long, bands array<long>, coords binary")
+    placed = sketches.selectExpr("7L AS bucket", "0 AS band", "id", "s1", "id AS component")
+    for hot in (4, 100):
+        monkeypatch.setattr(minhash, "HOT", hot)
+        got = minhash._open_links(frame, placed, sketches, 2, 80).collect()
+        assert {(r["a"], r["b"]) for r in got} == {(3, 8)}
+
+
+def test_rare_shingles_bring_all_similar_sets_together(spark, docs):
+    """Each pair that reaches the similarity shares a bucket; texts that share only what all have do not."""
+    common = [f"c{i}" for i in range(30)]
+    texts = [" ".join([*common, *(f"o{t}w{i}" for i in range(30))]) for t in range(6)] + families(5, 60)
+    frame = docs(*texts).select("doc_id", "text")
+    made = frame.coalesce(1).mapInPandas(minhash._sketches(2), minhash.SKETCH)
+    sketches = spark.createDataFrame(made.selectExpr("doc_id AS id", "s1", "n_shingles").collect(), "id long, s1 long, n_shingles long")
+    open_ = sketches.selectExpr("id", "s1", "id AS component")
+    buckets = {}
+    for r in minhash._by_rare_shingles(frame, open_, sketches, 2, 80).collect():
+        buckets.setdefault(r["bucket"], set()).add(r["id"])
+    sets = [set(minhash.shingles(t, 2).tolist()) for t in texts]
+    alike = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert len(alike) > 20 and all(any({i, j} <= b for b in buckets.values()) for i, j in alike)
+    assert not any(b & set(range(6)) for b in buckets.values())

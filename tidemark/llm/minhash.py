@@ -9,8 +9,9 @@ Equal sets are one class and are sketched once. In each bucket of equal bands al
 one, on full sets. Where a bucket's classes still lie in different components, those outside the largest are compared with
 all of it inside the tasks, block by block: by size, by sketch, and by the upper halves of the smallest ``FINE`` hashes of
 both sets, which are all of them but in long texts. A bucket of more than ``HOT`` classes is first split by a second band, so that unlike
-classes part. Halves of hashes can only make sets look more alike than they are, so no link is ruled out by them. Only links
-that join components, and pairs of long texts that may be links, leave the tasks; their full sets decide.
+classes part. What is still apart in such a bucket then meets by its rarest shingles, of which any two similar sets share one;
+so ``HOT`` decides how a bucket is compared, and not what is found. Halves of hashes can only make sets look more alike than they
+are, so no link is ruled out by them. Only links that join components, and pairs of long texts that may be links, leave the tasks; their full sets decide.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from tidemark.session import cut_lineage
 BANDS, ROWS = 42, 6  # a pair of similarity 0.8 shares no band with a chance of 3e-6
 COORDINATES = BANDS * ROWS
 BLOCK = 1024  # classes of a bucket that are compared with each other at once
-HOT = 16 * BLOCK  # a pair of similarity 0.8 that meets in a larger bucket shares no second band with a chance of 4e-5
+HOT = 16 * BLOCK  # classes of a bucket from where it is split; a pair of similarity 0.8 in it shares no second band with a chance of 4e-5
 FINE = 1024  # hashes of a set that go with a class into a bucket's blocks; all of them, if there are no more
 SPREAD = 4.5  # standard deviations below the similarity, from where a sketch rules a pair out
 
@@ -157,6 +158,16 @@ def _fine_sets(width: int, given: int):
     return rows
 
 
+def _hash_sets(width: int):
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles(t, width) for t in batch["text"]]
+            firsts = [_sums(h)[0] for h in sets]
+            yield pd.DataFrame({"id": batch["id"], "s1": firsts, "shingles": [h.view(np.int64) for h in sets]})
+
+    return rows
+
+
 def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sets, as sorted hashes, are similar enough."""
     short, long = (x, y) if len(x) <= len(y) else (y, x)
@@ -278,6 +289,28 @@ def _by_second_band(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
     return cold.unionByName(mixed_buckets(split))
 
 
+def _by_rare_shingles(docs: DataFrame, open_: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+    """The classes ``id, s1, component`` with a ``bucket`` for each of their rarest shingles, so that all similar ones meet.
+
+    All sets are put in one order: by the number of classes that have a shingle, then by the shingle. Two sets of ``n`` and
+    ``m`` shingles that are similar enough share ``percent`` percent of both, hence one of each set's first ``n - percent * n / 100``
+    and one. A shingle of a single class takes a place there, and makes no bucket.
+    """
+    ids = open_.select("id").distinct()
+    sets = _texts_of(docs, ids).mapInPandas(_hash_sets(width), "id long, s1 long, shingles array<long>")
+    own = likely_among(sketches.select("id", "s1", "n_shingles"), "id", ids).join(open_, ["id", "s1"]).dropDuplicates(["id", "s1"])
+    sets = sets.dropDuplicates(["id", "s1"]).join(own, ["id", "s1"])
+    each = cut_lineage(sets.select("id", "s1", "component", "n_shingles", F.explode("shingles").alias("bucket")))
+    counts = each.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    known = each.join(counts, "bucket").groupBy("id", "s1", "component", "n_shingles")
+    known = known.agg(F.array_sort(F.collect_list(F.struct("n", "bucket"))).alias("rare"))
+    places = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100 - 1e-6) + 1
+    taken = F.greatest(F.lit(0), places - (F.col("n_shingles") - F.size("rare"))).cast("int")
+    return known.select("id", "s1", "component", F.explode(F.slice("rare", 1, taken)).alias("rare")).select(
+        F.col("rare.bucket").alias("bucket"), F.lit(0).alias("band"), "id", "s1", "component"
+    )
+
+
 def open_meets(mixed: DataFrame, block_rows: int) -> DataFrame:
     """The rows of ``mixed_buckets``, dealt out so that all classes of different components of a bucket meet in a block.
 
@@ -317,10 +350,9 @@ def spread_groups(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def _open_links(docs: DataFrame, placed: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different components of a bucket; ``placed`` has ``bucket, band, id, s1, component``."""
-    mixed = cut_lineage(mixed_buckets(cut_lineage(placed)))
-    dealt = cut_lineage(open_meets(_by_second_band(mixed, sketches), BLOCK))
+def _links_among(docs: DataFrame, split: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components of a bucket of ``split``, which has ``second`` besides what ``mixed_buckets`` gives."""
+    dealt = cut_lineage(open_meets(split, BLOCK))
     ids = dealt.select("id").distinct()
     fine = _texts_of(docs, ids).mapInPandas(_fine_sets(width, FINE), "id long, s1 long, fine binary")
     known = likely_among(sketches, "id", ids).join(fine, ["id", "s1"])
@@ -332,6 +364,23 @@ def _open_links(docs: DataFrame, placed: DataFrame, sketches: DataFrame, width:
     return _verified(docs, likely, width, percent)
 
 
+def _open_links(docs: DataFrame, placed: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components of a bucket; ``placed`` has ``bucket, band, id, s1, component``."""
+    mixed = cut_lineage(mixed_buckets(cut_lineage(placed)))
+    links = _links_among(docs, _by_second_band(mixed, sketches), sketches, width, percent)
+    hot = mixed.where(F.col("size") > HOT)
+    if hot.isEmpty():
+        return links
+    # A pair of a hot bucket may share no second band; what the links leave apart there is compared by its rarest shingles.
+    links = cut_lineage(links)
+    ties = mixed.select(F.col("id").alias("a"), F.col("component").alias("b")).distinct()
+    found = components(links.unionByName(ties)).withColumnRenamed("node", "id").withColumnRenamed("component", "top")
+    hot = hot.drop(*STATS).join(found, "id", "left").withColumn("component", F.coalesce("top", "component")).drop("top")
+    open_ = cut_lineage(mixed_buckets(hot).select("id", "s1", "component").distinct())
+    rare = cut_lineage(mixed_buckets(cut_lineage(_by_rare_shingles(docs, open_, sketches, width, percent))))
+    return links.unionByName(_links_among(docs, rare.withColumn("second", F.lit(-1)), sketches, width, percent))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per document its set's size and its component of links of at least ``percent`` percent Jaccard similarity.
 
