@@ -7,8 +7,9 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm import fingerprints, minhash, vectors
+from tidemark.llm import fingerprints, graph, minhash, vectors
 from tidemark.llm.graph import components
+from tidemark.session import cut_lineage, overridden
 
 
 def roots(n, links):
@@ -334,3 +335,13 @@ def test_rare_shingles_bring_all_similar_sets_together(spark, docs):
     alike = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     assert len(alike) > 20 and all(any({i, j} <= b for b in buckets.values()) for i, j in alike)
     assert not any(b & set(range(6)) for b in buckets.values())
+
+
+def test_rounds_over_few_edges_take_few_tasks(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: made.append(out := cut_lineage(df)) or out)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").repartition(16)
+    with overridden(spark, spark__sql__shuffle__partitions=16, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        got = {tuple(r) for r in components(edges).collect()}
+    assert got == {(i, 0) for i in range(41)}
+    assert len(made) > 2 and all(df.rdd.getNumPartitions() == 1 for df in made[1:])

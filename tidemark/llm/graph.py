@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
+PART_EDGES = 20_000  # edges that a task takes at least
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges`` (columns ``a, b``); the component is its smallest node.
@@ -14,9 +16,15 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and NULL ends are left out, repeated edges count once; no edges give no rows. Each round hangs neighbours below
     their smallest neighbour, so that the number of rounds grows with the logarithm of the longest path; the rounds end when
     no node with a smaller neighbour has any other. What reaches the driver is at most one such node per round.
+
+    A round takes as many tasks as its edges are worth, ``PART_EDGES`` each, however many shuffle partitions there are: each
+    task leaves three files per shuffle, and rounds over few edges would leave little else. Edges never become more.
     """
     ends = edges.where(F.col("a") != F.col("b"))
-    stars = cut_lineage(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    stars, seen = ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), Observation()
+    stars = cut_lineage(stars.observe(seen, F.count("*").alias("edges")))
+    tasks = max(1, -(-seen.get["edges"] // PART_EDGES))
+    stars = stars.coalesce(tasks)
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
@@ -24,8 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
             break
         least = least.select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.coalesce(tasks)
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(lowest, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut_lineage(moved.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct())
+        moved = moved.unionByName(lowest.select("u", F.col("m").alias("v"))).coalesce(tasks)
+        stars = cut_lineage(moved.distinct().coalesce(tasks))
     roots = stars.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
