@@ -36,11 +36,13 @@ def append_history(
     ``distinct_history`` promises that ``history`` was built by this function. Then old rows are not touched:
     a new row can only repeat one that carries the same time of detection, and only those are compared.
     """
+    if history is not None and not distinct_history:
+        # Repeats among the new rows go with those of the old ones, in one shuffle.
+        added = history_changes(cdc, detected_at, unique_rows=True)
+        return history.unionByName(added, allowMissingColumns=True).dropDuplicates()
     added = history_changes(cdc, detected_at, unique_rows)
     if history is None:
         return added
-    if not distinct_history:
-        return history.unionByName(added, allowMissingColumns=True).dropDuplicates()
     same_time = history.where(col(HISTORY_TIME) == as_timestamp(detected_at))
     both = history.where(~col(HISTORY_TIME).eqNullSafe(as_timestamp(detected_at)))
     replayed = same_time.unionByName(added, allowMissingColumns=True).dropDuplicates()
