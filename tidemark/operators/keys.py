@@ -58,6 +58,23 @@ def apart_by(keys: Sequence[str]) -> list[Column]:
     return [*[col(k) for k in keys], F.xxhash64(*[col(k) for k in keys]).alias("__apart")]
 
 
+def likely_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is in ``wanted`` (its only column), and a few others.
+
+    To be put before a join on the key, so that its shuffle moves little. The hashes of the wanted keys mark bits in 256 bitmaps of
+    4 KB; that is what is broadcast, however many keys there are. The more keys, the more other rows stay.
+    """
+    spread = F.pmod(F.xxhash64(col(key)), F.lit(1 << 23))
+    marked = wanted.select(F.pmod(F.xxhash64(col(wanted.columns[0])), F.lit(1 << 23)).alias("__place"))
+    marked = marked.groupBy(F.shiftright("__place", 15).alias("__group"))
+    marks = marked.agg(F.bitmap_construct_agg(F.col("__place").bitwiseAND(F.lit(32767))).alias("__bits"))
+    place = spread.bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked_here = byte.bitwiseAND(F.pow(F.lit(2), place.bitwiseAND(F.lit(7))).cast("int")) != 0
+    same = F.shiftright(spread, 15) == F.col("__group")
+    return rows.join(F.broadcast(marks), same & marked_here).drop("__group", "__bits")
+
+
 def _hashable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
         return _hashable(data_type.elementType)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, staging
+from .keys import likely_among
 
 
 def dependents(models: DataFrame, model_id: str) -> DataFrame:
@@ -39,7 +40,8 @@ def refresh_order(models: DataFrame, model_id: str) -> DataFrame:
         root = spark.range(1).select(F.lit(model_id).alias("id"))
         ends, paths = root, []
         while len(paths) < SHALLOW:
-            ends = stage(edges.join(_as_source(ends), "source").select("id").distinct())
+            # Spark would shuffle all edges in each round; most lead from models that the round does not reach.
+            ends = stage(likely_among(edges, "source", ends).join(_as_source(ends), "source").select("id").distinct())
             paths.append(ends.withColumn("level", F.lit(len(paths) + 1)))
             if ends.isEmpty():
                 return cut_lineage(_joined(paths).groupBy("id").agg(F.max("level").alias("level")))
