@@ -670,13 +670,21 @@ def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
     return read_history(spark, store)
 
 
+ARRIVED_GROUP_BYTES = 8 << 20
+
+
+def write_arrival(rows: DataFrame, folder: str) -> None:
+    """One more file in ``folder``. A task reads whole row groups, so they are small: else one task would read all of the file."""
+    rows.coalesce(1).write.mode("append").option("parquet.block.size", ARRIVED_GROUP_BYTES).parquet(folder)
+
+
 @query
 def stream_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Each arriving file is a snapshot."""
     base = scratch_path(spark, "files")
     store, schema = SnapshotStore(f"{base}/store"), table(spark, sf, "orders").schema
     for rows in (prior_orders(spark, sf), current_orders(spark, sf)):
-        rows.coalesce(1).write.mode("append").parquet(f"{base}/arrived")
+        write_arrival(rows, f"{base}/arrived")
         query_ = stream_files(
             spark, f"{base}/arrived", schema, ORDER_KEY, store, f"{base}/checkpoint", clock=lambda batch: (PRIOR, NOW)[batch]
         )
