@@ -143,3 +143,15 @@ def test_checksum(spark):
     assert metrics.table_checksum(df).first() == whole
     assert metrics.table_checksum(df.unionAll(df.limit(1))).first()["checksum"] != whole["checksum"]
     assert metrics.table_checksum(df.limit(0)).first().asDict() == {"checksum": "empty", "row_count": 0}
+
+
+def test_fingerprints_are_shuffled_short_and_come_back_whole(spark):
+    """Also those that are no 32 lower-case digits."""
+    marks = ["0" * 32, "0f" * 16, "0F" * 16, "a" * 16, "", "\u00fc" * 8, "\0" * 16, "0f" * 16 + "\n", None]
+    rows = spark.createDataFrame([(i, m) for i, m in enumerate(marks)], "v int, `$_ref` string").repartition(3)
+    before = cdc.first_refresh(rows.where("v % 3 <> 0"), T1)
+    out = cdc.hash_cdc(rows.where("v % 3 <> 1"), before, T2)
+    assert "unhex" in out._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r["v"], r["$_ref"], r["$_operation"], r["$_timestamp"] == r["$_last_updated"]) for r in out.collect() if r["$_ref"] is not None)
+    told = [(i, m, "DELETE" if i % 3 == 1 else "INSERT", i % 3 != 1) for i, m in enumerate(marks) if m is not None]
+    assert got == told

@@ -153,6 +153,21 @@ def _counted_cdc(current: DataFrame, previous: DataFrame, moment: Column) -> Dat
     return present.unionByName(gone, allowMissingColumns=True)
 
 
+_APART = 17  # a prefix that makes other texts longer than the 16 bytes of a fingerprint
+
+
+def _short(name: str) -> Column:
+    """A fingerprint as the 16 bytes that its 32 digits stand for, in ``__short``; other texts stay whole, behind a prefix."""
+    other = F.concat(F.lit(bytes(_APART)), col(name).cast("binary"))
+    return F.coalesce(F.when(col(name).rlike("^[0-9a-f]{32}\\z"), F.unhex(col(name))), other).alias("__short")
+
+
+def _long(name: str) -> Column:
+    """The text that :func:`_short` was made of."""
+    other = F.expr(f"substring({name}, {_APART + 1})").cast("string")
+    return F.when(F.length(name) == 16, F.lower(F.hex(name))).otherwise(other)
+
+
 def hash_cdc(current: DataFrame, previous: DataFrame, now: Any, counted: bool = False) -> DataFrame:
     """Change tags for a result without a key, by row fingerprint.
 
@@ -160,7 +175,7 @@ def hash_cdc(current: DataFrame, previous: DataFrame, now: Any, counted: bool =
     old timestamp, last updated at ``now``.
 
     A fingerprint may repeat without limit in either version, so the side that can repeat always streams through the
-    join (where skewed partitions are split) against fingerprints made unique before the shuffle.
+    join (where skewed partitions are split) against fingerprints made unique before the shuffle. All are shuffled as 16 bytes.
 
     ``counted`` compares numbers of copies as well: of three equal rows that become one, one stays and two are DELETE; of one that
     becomes three, two are INSERT at ``now``. The copies of a fingerprint share the earliest of its old times.
@@ -172,24 +187,26 @@ def hash_cdc(current: DataFrame, previous: DataFrame, now: Any, counted: bool =
     if counted:
         return _counted_cdc(current, previous, moment)
 
+    old = previous.select(*[col(c) for c in data if c in previous.columns], col(TIMESTAMP), col(LAST_UPDATED), _short(HASH_COLUMN))
     times = (
-        previous.select(col(HASH_COLUMN).alias("__ref"), col(TIMESTAMP), col(LAST_UPDATED))
+        old.select(F.col("__short").alias("__ref"), col(TIMESTAMP), col(LAST_UPDATED))
         .groupBy(*apart_by(["__ref"]))
         .agg(F.min(col(TIMESTAMP)).alias("__ts"), F.min(col(LAST_UPDATED)).alias("__lu"))
     )
-    found = current.join(times, col(HASH_COLUMN) == col("__ref"), "left")
+    new = current.select(*[col(c) for c in data], _short(HASH_COLUMN))
+    found = new.join(times, F.col("__short") == col("__ref"), "left")
     known = col("__ref").isNotNull()
     present = found.select(
         *[col(c) for c in data],
-        col(HASH_COLUMN),
+        _long("__short").alias(HASH_COLUMN),
         F.lit("INSERT").alias(OPERATION),
         F.when(known, col("__ts")).otherwise(moment).alias(TIMESTAMP),
         F.when(known, col("__lu")).otherwise(moment).alias(LAST_UPDATED),
     )
-    refs = current.select(col(HASH_COLUMN).alias("__ref")).select(*apart_by(["__ref"])).dropDuplicates()
-    gone = previous.join(refs, col(HASH_COLUMN) == col("__ref"), "left_anti").select(
+    refs = new.select(F.col("__short").alias("__ref")).select(*apart_by(["__ref"])).dropDuplicates()
+    gone = old.join(refs, F.col("__short") == col("__ref"), "left_anti").select(
         *[col(c) for c in data if c in previous.columns],
-        col(HASH_COLUMN),
+        _long("__short").alias(HASH_COLUMN),
         F.lit("DELETE").alias(OPERATION),
         col(TIMESTAMP),
         moment.alias(LAST_UPDATED),
