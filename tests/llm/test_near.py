@@ -345,3 +345,25 @@ def test_rounds_over_few_edges_take_few_tasks(spark, monkeypatch):
         got = {tuple(r) for r in components(edges).collect()}
     assert got == {(i, 0) for i in range(41)}
     assert len(made) > 2 and all(df.rdd.getNumPartitions() == 1 for df in made[1:])
+
+
+def test_steps_over_few_pairs_take_few_tasks(spark, docs):
+    """However many shuffle partitions there are, as the driver keeps an account of each task."""
+    frame = docs(*[" ".join(f"w{i}" for i in range(t, t + 40)) for t in (0, 1, 100, 101)]).select("doc_id", "text").coalesce(1)
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (2, 3)], "a long, b long").repartition(16)
+    with overridden(spark, spark__sql__shuffle__partitions=16, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        links = minhash._verified(frame, pairs, 2, 80)
+        assert links.rdd.getNumPartitions() == 1
+        assert {tuple(r) for r in links.collect()} == {(0, 1), (2, 3)}
+        edges = cut_lineage(spark.range(40).selectExpr("id AS a", "id + 1 AS b"))
+        spark.sparkContext.setJobGroup("rounds", "")
+        try:
+            found = components(edges)
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        assert found.rdd.getNumPartitions() <= 2
+        assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(41)}
+        status = spark.sparkContext.statusTracker()
+        stages = {s for job in status.getJobIdsForGroup("rounds") for s in status.getJobInfo(job).stageIds}
+        tasks = [info.numTasks for s in stages if (info := status.getStageInfo(s)) and info.numCompletedTasks]
+        assert sorted(tasks)[-3] <= 1  # more only where the edges come in

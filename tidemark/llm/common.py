@@ -93,7 +93,7 @@ def likely_among(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """
     spread = F.pmod(F.xxhash64(key), F.lit(1 << 23))
     marked = ids.select(spread.alias("place")).groupBy(F.shiftright("place", 15).alias("mark_group"))
-    marks = marked.agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(32767))).alias("mark_bits"))
+    marks = marked.agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(32767))).alias("mark_bits")).coalesce(16)
     place = spread.bitwiseAND(F.lit(32767))
     byte = F.conv(F.hex(F.substring("mark_bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     marked_here = byte.bitwiseAND(F.pow(F.lit(2), place.bitwiseAND(F.lit(7))).cast("int")) != 0

@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import likely_among, mix64, small_batches, text_of, true_runs
-from tidemark.llm.graph import components
+from tidemark.llm.graph import components, in_few_tasks
 from tidemark.session import cut_lineage
 
 BANDS, ROWS = 42, 6  # a pair of similarity 0.8 shares no band with a chance of 3e-6
@@ -32,6 +32,7 @@ COORDINATES = BANDS * ROWS
 BLOCK = 1024  # classes of a bucket that are compared with each other at once
 HOT = 16 * BLOCK  # classes of a bucket from where it is split; a pair of similarity 0.8 in it shares no second band with a chance of 4e-5
 FINE = 1024  # hashes of a set that go with a class into a bucket's blocks; all of them, if there are no more
+PART_PAIRS, PART_IDS = 500, 5000  # pairs that a task verifies at least, ids that it looks up
 SPREAD = 4.5  # standard deviations below the similarity, from where a sketch rules a pair out
 
 STATS = ("main", "size", "most")  # of a bucket with several components
@@ -197,13 +198,15 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets reach the similarity."""
+    """The pairs ``a, b`` whose full sets reach the similarity, in as many tasks as the pairs are worth."""
+    pairs, tasks = in_few_tasks(pairs, PART_PAIRS)
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    ids, _ = in_few_tasks(ids, PART_IDS)
     sets = _texts_of(docs, ids).mapInPandas(_full_sets(width), "id long, shingles binary")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInPandas(_similar(percent), "a long, b long").distinct()
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").coalesce(tasks)
+    return joined.mapInPandas(_similar(percent), "a long, b long").distinct().coalesce(tasks)
 
 
 def _fine_reach(x: np.ndarray, y: np.ndarray, whole: bool, percent: int, given: int) -> bool:
@@ -353,24 +356,25 @@ def spread_groups(rows: DataFrame, *keys: str) -> DataFrame:
 def _links_among(docs: DataFrame, split: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between different components of a bucket of ``split``, which has ``second`` besides what ``mixed_buckets`` gives."""
     dealt = cut_lineage(open_meets(split, BLOCK))
-    ids = dealt.select("id").distinct()
+    ids, _ = in_few_tasks(dealt.select("id").distinct(), PART_IDS)
     fine = _texts_of(docs, ids).mapInPandas(_fine_sets(width, FINE), "id long, s1 long, fine binary")
     known = likely_among(sketches, "id", ids).join(fine, ["id", "s1"])
     keys = ["bucket", "band", "second", "block", "group"]
     before = F.slice("bands", 1, F.greatest("band", "second")).alias("before")  # the bands of earlier buckets
     light = [*dealt.columns, "n_shingles", "coords", "fine", before]
     met = spread_groups(dealt.join(known.dropDuplicates(["id", "s1"]), ["id", "s1"]).select(*light), *keys)
-    likely = cut_lineage(met.groupBy(*keys).applyInPandas(_block_links(percent, FINE), "a long, b long").distinct())
+    likely = met.groupBy(*keys).applyInPandas(_block_links(percent, FINE), "a long, b long").distinct()
     return _verified(docs, likely, width, percent)
 
 
 def _open_links(docs: DataFrame, placed: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between different components of a bucket; ``placed`` has ``bucket, band, id, s1, component``."""
-    mixed = cut_lineage(mixed_buckets(cut_lineage(placed)))
+    seen = Observation()
+    mixed = cut_lineage(mixed_buckets(cut_lineage(placed)).observe(seen, F.max("size").alias("largest")))
+    if (seen.get["largest"] or 0) <= HOT:
+        return _links_among(docs, mixed.withColumn("second", F.lit(-1)), sketches, width, percent)
     links = _links_among(docs, _by_second_band(mixed, sketches), sketches, width, percent)
     hot = mixed.where(F.col("size") > HOT)
-    if hot.isEmpty():
-        return links
     # A pair of a hot bucket may share no second band; what the links leave apart there is compared by its rarest shingles.
     links = cut_lineage(links)
     ties = mixed.select(F.col("id").alias("a"), F.col("component").alias("b")).distinct()
